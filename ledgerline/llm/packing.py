@@ -48,14 +48,21 @@ class ChunkEncoder(dict):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.byte_form = {c: spell(chr(c))[0][0] for c in (*range(33, 127), *range(192, 256))}
         self.parts: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def part(self, text: str) -> bytes:
+        """A part needs neither normalizer nor splitter, so its byte-level form goes to the model at once."""
+        return b"".join(x.id.to_bytes(4, "little") for x in self.model.tokenize(text.translate(self.byte_form)))
+
     def __missing__(self, chunk: bytes) -> bytes:
         text = chunk.decode("utf-8", "replace")
         if "<|" not in text and _SIMPLE.fullmatch(text):
@@ -63,7 +70,7 @@ class ChunkEncoder(dict):
             for part in _PART.findall(text.lower()):
                 ids = self.parts.get(part)
                 if ids is None:
-                    ids = self.whole(part)
+                    ids = self.part(part)
                     if len(self.parts) < _CACHE_LIMIT:
                         self.parts[part] = ids
                 found.append(ids)
