@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, urlfilter, warc
+from . import packing, simhash, suffixdedup, urlfilter, warc
 
 #: Action, host and path of the url rules.
 URL_RULES = [
@@ -33,6 +33,14 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, folder, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.spans(_table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), word_tokenizer())
 
@@ -43,6 +51,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_url_filters": op10_url_filters,
 }
