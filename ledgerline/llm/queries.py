@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, simhash, suffixdedup, urlfilter, warc
+from . import packing, quality, simhash, suffixdedup, urlfilter, warc
 
 #: Action, host and path of the url rules.
 URL_RULES = [
@@ -28,6 +28,10 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, index = warc.write(_table(spark, sf_dir, "pages"))
     return warc.read(spark, folder, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -50,6 +54,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_warc": op3_warc,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
@@ -57,6 +62,62 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_filters": op10_url_filters,
 }
 
+#: The same counts, sketches, fences and fallbacks.
+_OP1 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+lines AS (
+  SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
+dup AS (
+  SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+win AS (
+  SELECT r, i, array_to_string(ws[i : i + 7], ' ') AS w
+  FROM (SELECT r, ws, unnest(generate_series(1, len(ws) - 7)) AS i FROM d WHERE len(ws) >= 8)),
+hit AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS n FROM win) WHERE n > 1),
+rep AS (
+  SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM hit, generate_series(0, 7) AS g(k) GROUP BY r),
+c AS (
+  SELECT d.r, doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+  FROM d LEFT JOIN dup USING (r) LEFT JOIN rep USING (r)),
+m AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         CASE WHEN n_words > 0 THEN word_chars * 1000 // n_words ELSE 0 END AS m1,
+         CASE WHEN n_words > 0 THEN n_symbols * 1000 // n_words ELSE 0 END AS m2,
+         CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END AS m3,
+         CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END AS m4
+  FROM c),
+v AS (
+  SELECT r, lang, source, unnest([1, 2, 3, 4]) AS metric, unnest([m1, m2, m3, m4]) AS v FROM m WHERE NOT base_failed),
+b AS (
+  SELECT lang, source, metric, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS b FROM v),
+q2 AS (
+  SELECT lang, source, metric, count(*) AS t, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM b GROUP BY ALL),
+q1 AS (
+  SELECT lang, metric, count(*) AS t, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM b GROUP BY ALL),
+q0 AS (
+  SELECT metric, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM b GROUP BY ALL),
+p AS (
+  SELECT q2.lang, q2.source, q2.metric,
+         CASE WHEN q2.t >= 50 THEN q2.q1 WHEN q1.t >= 50 THEN q1.q1 ELSE q0.q1 END AS lo,
+         CASE WHEN q2.t >= 50 THEN q2.q3 WHEN q1.t >= 50 THEN q1.q3 ELSE q0.q3 END AS hi
+  FROM q2 JOIN q1 ON q1.lang IS NOT DISTINCT FROM q2.lang AND q1.metric = q2.metric JOIN q0 ON q0.metric = q2.metric),
+o AS (
+  SELECT DISTINCT v.r FROM v JOIN p
+    ON p.lang IS NOT DISTINCT FROM v.lang AND p.source IS NOT DISTINCT FROM v.source AND p.metric = v.metric
+  WHERE v.v > hi + 6 * greatest(hi - lo, CASE v.metric WHEN 1 THEN 200 ELSE 25 END)
+     OR v.metric = 1 AND v.v < lo - 6 * greatest(hi - lo, 200))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND o.r IS NULL AS kept
+FROM m LEFT JOIN o USING (r)
+"""
+
 _OP10 = r"""
 WITH u AS (
   SELECT page_id,
@@ -80,4 +141,4 @@ SELECT page_id, host, path, rule,
 FROM r
 """
 
-ORACLE_SQL: dict[str, str] = {"op10_url_filters": _OP10}
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": _OP1, "op10_url_filters": _OP10}
