@@ -94,9 +94,9 @@ def input_bytes(docs: DataFrame, column: str) -> tuple[int, int]:
 
 
 #: ASCII upper case becomes lower case and everything in ASCII but letters and digits becomes a space.
-_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
-def folded_words(text: str | None) -> list[bytes]:
-    """Words without case and ASCII punctuation, as UTF-8."""
-    return text.encode("utf-8", "replace").translate(_FOLD).split() if text else []
+def folded_words(text: bytes | None) -> list[bytes]:
+    """Words without case and ASCII punctuation, of UTF-8 bytes."""
+    return text.translate(FOLD).split() if text else []

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, simhash, suffixdedup, urlfilter, warc
+from . import decontam, langid, packing, quality, simhash, suffixdedup, tokencount, toxicity, urlfilter, warc
 
 #: Action, host and path of the url rules.
 URL_RULES = [
@@ -32,11 +32,23 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, index = warc.write(_table(spark, sf_dir, "pages"))
     return warc.read(spark, folder, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predict(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -45,6 +57,15 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.spans(_table(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as tokenizers
+
+    path, pattern = tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = tokencount.trees(docs, path, pattern).withColumn("edits", tokencount.edit_finder()("text"))
+    return tokencount.recount(kept, path, pattern)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), word_tokenizer())
 
@@ -55,9 +76,13 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_decontamination": op2_decontamination,
     "op3_warc": op3_warc,
+    "op4_toxicity": op4_toxicity,
+    "op5_language_id": op5_language_id,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_token_counts": op8_token_counts,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_url_filters": op10_url_filters,
 }
