@@ -111,7 +111,7 @@ class VersionedTable:
     def change_feed(self, first: int | None = None, since: int | None = None) -> DataFrame:
         """Row images of the versions from `first`, or committed at `since` (epoch seconds) or later."""
         chosen = [m for m in map(self.manifest, range(max(first or 1, 1), self.version() + 1)) if m.changes and (since is None or m.committed_at >= since)]
-        schema = StructType(self.schema.fields).add("_change_type", "string").add("_commit_version", "long").add("_commit_timestamp", "long")
+        schema = StructType([*self.schema.fields]).add("_change_type", "string").add("_commit_version", "long").add("_commit_timestamp", "long")
         if not chosen:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*(f"{self.path}/{m.changes}" for m in chosen))
@@ -150,7 +150,7 @@ class VersionedTable:
         data = f"data/{version}-{tag}"
         told = rows.withColumn("_b", self._bucket(F.col(self.key))).repartition(min(len(touched), self.n), "_b")
         told.write.partitionBy("_b").parquet(f"{self.path}/{data}")
-        written = self.spark.read.schema(StructType(self.schema.fields).add("_change", "string")).parquet(*(f"{self.path}/{data}/_b={b}" for b in touched))
+        written = self.spark.read.schema(StructType([*self.schema.fields]).add("_change", "string")).parquet(*(f"{self.path}/{data}/_b={b}" for b in touched))
         stamp = int(time.time()) if now is None else now
         new = written.filter("_change <> 'kept'")
         old = target.join(new.filter("_change = 'update'").select(self.key), self.key, "left_semi").withColumn("_change_type", F.lit("update_preimage"))
