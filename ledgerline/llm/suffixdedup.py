@@ -6,9 +6,9 @@ A byte is removed if a string of `LENGTH` (50) bytes that covers it also starts
    strings share anchors, so that a document has about one per 14 bytes, and equal strings have equal anchors. Anchor
    hashes are dealt to buckets, where those of more than one document are found.
 2. Refinement. Only runs of strings whose anchor is shared move on, as short contexts, to their anchor's bucket. There the
-   suffixes of the contexts are sorted as in bucket-pointer refinement: initial buckets are 8-grams; each pass sorts by
+   suffixes of the contexts are sorted as in bucket-pointer refinement: initial buckets are 4-grams; each pass sorts by
    the bucket pointers of a suffix and of the suffix at the depth reached so far, and uses the pointers it has just updated for the
-   next one, so depth doubles: 8, 16, 32, 50. Suffixes of one final bucket share their first 50 bytes, exactly. In each, all
+   next one, so depth doubles: 4, 8, 16, 32, 50. Suffixes of one final bucket share their first 50 bytes, exactly. In each, all
    but those of the smallest doc_id are removed.
 3. Removed runs return to their documents.
 
@@ -29,6 +29,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +38,9 @@ from .common import Stash, input_bytes, prepare, stash
 
 LENGTH = 50
 Q = 24
-#: Bytes of text that one task's chunk, and one bucket, is meant for.
-CHUNK = 16 << 20
+#: Bytes of text that a task holds at once, and that a bucket of documents and one of anchors is meant for.
+CHUNK = 8 << 20
+HOME = 16 << 20
 BUCKET = 8 << 20
 #: Bytes of contexts that are sorted at once, and that one anchor's group may have.
 SORT_BYTES = 1 << 20
@@ -57,46 +60,92 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
-def grams(data: np.ndarray) -> np.ndarray:
-    """The 8 bytes from each position on as one number (fewer at the end are absent)."""
+def grams(data: np.ndarray, width: int) -> np.ndarray:
+    """The `width` (4 or 8) bytes from each position on as one number; the last positions have none."""
     x = data.astype(np.uint64)
-    for step in (1, 2, 4):
+    step = 1
+    while step < width:
         x = (x[:-step] << np.uint64(8 * step)) | x[step:]
+        step *= 2
     return x
 
 
-def runs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of 50-byte strings with one anchor: the anchor's hash, the first and the last start. Empty for shorter texts."""
-    n = len(text)
-    if n < LENGTH:
+#: Texts are hashed together up to about this many bytes, which a processor's cache holds.
+TOGETHER = 64 << 10
+
+
+def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of 50-byte strings with one anchor: the text's number, the anchor's hash, the first and the last start in the text."""
+    found, group, size = [], [], 0
+    for k, text in enumerate(texts):
+        group.append(k)
+        size += len(text)
+        if size > TOGETHER:
+            found.append(_runs(texts, group))
+            group, size = [], 0
+    if group:
+        found.append(_runs(texts, group))
+    found = [f for f in found if f is not None]
+    if not found:
         none = np.empty(0, np.int64)
-        return np.empty(0, np.uint64), none, none
-    x = grams(np.frombuffer(text, np.uint8))
+        return none, np.empty(0, np.uint64), none, none
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _runs(texts: list[bytes], group: list[int]):
+    data = np.frombuffer(b"".join([texts[k] for k in group]), np.uint8)
+    n = len(data)
+    if n < LENGTH:
+        return None
+    sizes = np.fromiter((len(texts[k]) for k in group), np.int64, len(group))
+    ends = np.cumsum(sizes)
+    x = grams(data, 8)
     h = _mix(_mix(x[:-16], x[8:-8]), x[16:])  # Q bytes
-    at = np.arange(len(h), dtype=np.uint64) & np.uint64(63)
-    low = (h & ~np.uint64(63)) | at
-    width = LENGTH - Q + 1
-    span = 1
+    h &= ~np.uint64(63)
+    h |= np.arange(len(h), dtype=np.uint64) & np.uint64(63)
+    low, width, span = h, LENGTH - Q + 1, 1
     while 2 * span <= width:
         low = np.minimum(low[:-span], low[span:])
         span *= 2
+    count = n - LENGTH + 1
     if span < width:
-        low = np.minimum(low[: n - LENGTH + 1], low[width - span : width - span + n - LENGTH + 1])
-    starts = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
-    return low[starts] >> np.uint64(6), starts, np.r_[starts[1:], len(low)] - 1
+        low = np.minimum(low[:count], low[width - span : width - span + count])
+    inside = np.ones(n, bool)  # strings that end in their own text
+    inside[(ends[:, None] - np.arange(1, LENGTH)).clip(0).ravel()] = False
+    for k in np.flatnonzero(sizes < LENGTH).tolist():
+        inside[ends[k] - sizes[k] : ends[k]] = False
+    at = np.flatnonzero(inside[:count])
+    if not len(at):
+        return None
+    low = low[at]
+    new = np.flatnonzero(np.concatenate(([True], (low[1:] != low[:-1]) | (at[1:] != at[:-1] + 1))))
+    first, last = at[new], at[np.concatenate((new[1:] - 1, [len(at) - 1]))]
+    owner = np.searchsorted(ends, first, side="right")
+    base = (ends - sizes)[owner]
+    return np.array(group, np.int64)[owner], low[new] >> np.uint64(6), first - base, last - base
+
+
+def _ranks(key: np.ndarray) -> np.ndarray:
+    """Dense ranks of numbers below 2^42, at most 2^21 of them: sorted together with their places."""
+    packed = (key << np.uint64(21)) | np.arange(len(key), dtype=np.uint64)
+    packed.sort()
+    place = (packed & np.uint64((1 << 21) - 1)).astype(np.int64)
+    packed >>= np.uint64(21)
+    out = np.empty(len(key), np.uint64)
+    out[place] = np.cumsum(np.concatenate(([False], packed[1:] != packed[:-1]))).astype(np.uint64)
+    return out
 
 
 def refine(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Bucket numbers of the suffixes at `starts`, refined to 50 bytes: equal numbers, equal strings.
 
-    text must have 50 bytes from each start on. Bucket pointers of all positions are kept, since refinement reads those of later offsets.
+    text has at most 2^21 bytes, 50 from each start on. Bucket pointers of all positions are kept, since refinement reads
+    those of later offsets.
     """
-    bucket = np.unique(grams(text), return_inverse=True)[1].astype(np.uint64)
-    for depth in (8, 16):
-        pair = (bucket[:-depth] << np.uint64(32)) | bucket[depth:]
-        bucket = np.unique(pair, return_inverse=True)[1].astype(np.uint64)
-    pair = (bucket[starts] << np.uint64(32)) | bucket[starts + LENGTH - 32]
-    return np.unique(pair, return_inverse=True)[1]
+    bucket = _ranks(grams(text, 4))
+    for depth in (4, 8, 16):
+        bucket = _ranks((bucket[:-depth] << np.uint64(21)) | bucket[depth:])
+    return _ranks((bucket[starts] << np.uint64(21)) | bucket[starts + LENGTH - 32]).astype(np.int64)
 
 
 def least_of(classes: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -120,6 +169,38 @@ def _split(bucket: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
             yield b, order[edges[b] : edges[b + 1]]
 
 
+LOW = np.uint64((1 << 40) - 1)
+
+
+def _tokens(g: np.ndarray, buckets: int) -> np.ndarray:
+    """Anchor hashes cut to a bucket and 40 bits in it; anchors that fall together are only compared in vain."""
+    n = np.uint64(buckets)
+    return ((g // n) & LOW) * n + g % n
+
+
+def _planes(x: np.ndarray, width: int) -> np.ndarray:
+    """Numbers of `width` bytes, byte by byte, so that what sorted numbers have in common compresses."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).ravel()
+
+
+def _unplaned(b: np.ndarray, width: int) -> np.ndarray:
+    out = np.zeros((len(b) // width, 8), np.uint8)
+    out[:, :width] = b.reshape(width, -1).T
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
+def _tell(row: np.ndarray, g: np.ndarray) -> bytes:
+    """Anchors of rows, packed."""
+    own, local = np.unique(row, return_inverse=True)
+    order = np.argsort(g)
+    return _pack(own, _planes(local.ravel()[order], 3), _planes(g[order], 8))
+
+
+def _untell(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    own, local, g = _unpack(blob, np.int64, np.uint8, np.uint8)
+    return own[_unplaned(local, 3).astype(np.int64)], _unplaned(g, 8)
+
+
 PACKED = "kind int, bucket int, blob binary"
 _PACKED = [("kind", pa.int32()), ("bucket", pa.int32()), ("blob", pa.binary())]
 ASK, TELL = 0, 1  # to an anchor's bucket; to a document's
@@ -146,14 +227,17 @@ def _doc_bucket(row: np.ndarray, n: int) -> np.ndarray:
 
 
 def _anchors(buckets: int, homes: int):
-    """(doc_id, row, text) rows: anchor hashes for the buckets, and for the documents those known here to be shared."""
+    """(doc_id, row, text) rows: anchors for the buckets, and for the documents those known here to be shared."""
 
-    def flush(ids: list[int], keys: list[int], hashes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def flush(ids: list[int], keys: list[int], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
         doc_id, row = np.array(ids, np.int64), np.array(keys, np.int64)
-        rank = np.argsort(np.lexsort((row, doc_id)))
-        g = np.concatenate(hashes)
-        d = np.repeat(np.arange(len(ids)), [len(h) for h in hashes])
-        order = np.lexsort((rank[d], g))
+        by_id = np.lexsort((row, doc_id))
+        row = row[by_id]
+        d, g, _, _ = runs([texts[i] for i in by_id.tolist()])  # numbered by doc_id
+        if not len(d):
+            return
+        g = _tokens(g, buckets)
+        order = np.argsort(g, kind="stable")
         g, d = g[order], d[order]
         fresh = np.r_[True, (g[1:] != g[:-1]) | (d[1:] != d[:-1])]
         g, d = g[fresh], d[fresh]
@@ -162,28 +246,28 @@ def _anchors(buckets: int, homes: int):
         many = ~first | np.r_[~first[1:], False]
         home = _doc_bucket(row[d[many]], homes)
         for b, at in _split(home, homes):
-            out.append((TELL, b, _pack(row[d[many][at]], g[many][at])))
+            out.append((TELL, b, _tell(row[d[many][at]], g[many][at])))
         g, d = g[first], d[first]
-        bucket = (g % np.uint64(buckets)).astype(np.int64)
-        for b, at in _split(bucket, buckets):
+        n = np.uint64(buckets)
+        for b, at in _split((g % n).astype(np.int64), buckets):
             own, local = np.unique(d[at], return_inverse=True)
-            out.append((ASK, b, _pack(g[at], row[own], local.astype(np.uint32 if len(own) > 65535 else np.uint16))))
+            out.append((ASK, b, _pack(_planes(g[at] // n, 5), row[own], _planes(local.ravel(), 3))))
         yield _rows(_PACKED, out)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, keys, hashes, size = [], [], [], 0
+        ids, keys, texts, size = [], [], [], 0
         for batch in batches:
             for i, k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())):
-                text = t.as_py() or b""
-                g = np.unique(runs(text)[0])
-                if len(g):
-                    ids.append(i), keys.append(k), hashes.append(g)
+                text = t.as_py()
+                if text is None or len(text) < LENGTH:
+                    continue
+                ids.append(i), keys.append(k), texts.append(text)
                 size += len(text)
-                if size > CHUNK and ids:
-                    yield from flush(ids, keys, hashes)
-                    ids, keys, hashes, size = [], [], [], 0
+                if size > CHUNK:
+                    yield from flush(ids, keys, texts)
+                    ids, keys, texts, size = [], [], [], 0
         if ids:
-            yield from flush(ids, keys, hashes)
+            yield from flush(ids, keys, texts)
 
     return run
 
@@ -202,23 +286,35 @@ def _by_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[by
         yield now, held
 
 
-def _shared(homes: int):
-    """Anchor hashes that come from several chunks, for the documents that have them."""
+def _shared(buckets: int, homes: int):
+    """(key, blob, kind, bucket) rows, sorted by key: anchors of several chunks, for their documents. Rows for documents pass."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, blobs in _by_bucket(batches):
+        def asked() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ask = pa.compute.equal(batch.column(2), ASK)
+                if (told := batch.filter(pa.compute.invert(ask))).num_rows:
+                    passed.append(pa.record_batch([told.column(2), told.column(3), told.column(1)], names=["kind", "bucket", "blob"]))
+                if (own := batch.filter(ask)).num_rows:
+                    yield own.select([3, 1])
+
+        passed: list[pa.RecordBatch] = []
+        for bucket, blobs in _by_bucket(asked()):
+            yield from passed
+            passed.clear()
             g, row = [], []
             for blob in blobs:
-                n = np.frombuffer(blob, np.int64, 3, 8)
-                got, own, local = _unpack(blob, np.uint64, np.int64, np.uint16 if n[2] == n[0] // 4 else np.uint32)
-                g.append(got), row.append(own[local])
+                low, own, local = _unpack(blob, np.uint8, np.int64, np.uint8)
+                g.append(_unplaned(low, 5) * np.uint64(buckets) + np.uint64(bucket))
+                row.append(own[_unplaned(local, 3).astype(np.int64)])
             g, row = np.concatenate(g), np.concatenate(row)
             order = np.argsort(g)
             g, row = g[order], row[order]
             same = g[1:] == g[:-1]
             many = np.r_[same, False] | np.r_[False, same]
             g, row = g[many], row[many]
-            yield _rows(_PACKED, [(TELL, b, _pack(row[at], g[at])) for b, at in _split(_doc_bucket(row, homes), homes)])
+            yield _rows(_PACKED, [(TELL, b, _tell(row[at], g[at])) for b, at in _split(_doc_bucket(row, homes), homes)])
+        yield from passed
 
     return run
 
@@ -259,71 +355,105 @@ def _contexts(buckets: int, homes: int):
                 gone += [(d, s, s + len(context)) for d, _, s in rows if ids[d] > low]
                 rows = [r for r in rows if ids[r[0]] == low]
             for d, g, s in rows:
-                sent.setdefault(g % buckets, []).append((g, ids[d], keys[d], s, context))
+                sent.setdefault(g % buckets, []).append((g, d, s, context))
         out = []
         if gone:
             d, s, e = (np.array(x, np.int64) for x in zip(*gone))
             out += _told(np.array(keys, np.int64)[d], s, e, homes)
         for b, rows in sent.items():
-            g, i, k, s, c = zip(*rows)
-            sizes = np.fromiter(map(len, c), np.uint16, len(c))
-            blob = _pack(np.array(g, np.uint64), np.array(i, np.int64), np.array(k, np.int64), np.array(s, np.int64), sizes, np.frombuffer(b"".join(c), np.uint8))
+            rows.sort(key=lambda r: r[0])  # contexts of an anchor are alike and compress together
+            g, d, s, c = zip(*rows)
+            own, local = np.unique(np.array(d, np.int64), return_inverse=True)
+            low = np.array(g, np.uint64) // np.uint64(buckets)
+            table = np.array([(ids[k], keys[k]) for k in own.tolist()], np.int64)
+            blob = _pack(
+                _planes(low, 5), table, _planes(local.ravel(), 3), np.array(s, np.uint32), np.fromiter(map(len, c), np.uint8, len(c)),
+                np.frombuffer(zstandard.compress(b"".join(c), 3), np.uint8),
+            )
             out.append((ASK, b, blob, None, None, None, None))
         yield _rows(_SPAN, out)
 
+    def take(ids: list, keys: list, texts: list[bytes], shared: np.ndarray, found: dict, at: int) -> int:
+        """Add the contexts of these texts' shared anchors; the bytes that they take."""
+        d, g, first, last = runs(texts)
+        g = _tokens(g, buckets)
+        mine = _of_row(np.array(keys[at:], np.int64)[d], g)
+        hit = np.flatnonzero(shared[np.minimum(np.searchsorted(shared, mine), len(shared) - 1)] == mine)
+        for k, x, s, e in zip(d[hit].tolist(), g[hit].tolist(), first[hit].tolist(), (last[hit] + LENGTH).tolist()):
+            found.setdefault(texts[k][s:e], []).append((at + k, x, s))
+        return len(hit) * 75
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, told, shared = None, [], None
         found: dict[bytes, list] = {}
         ids, keys, size = [], [], 0
+        texts: list[bytes] = []
         for batch in batches:
             for b, kind, blob, i, k, t in zip(*(batch.column(c).to_pylist() for c in range(5)), batch.column(5)):
                 if b != now:
-                    now, told, shared = b, [], None
+                    if texts:
+                        size += take(ids, keys, texts, shared, found, len(ids) - len(texts))
+                    now, told, shared, texts = b, [], None, []
                 if kind == 0:
                     told.append(blob)
                     continue
                 if shared is None:
                     shared = _told_anchors(told)
-                mine = shared.get(k)
-                if mine is None:
-                    continue
                 text = t.as_py()
-                g, first, last = runs(text)
-                take = np.flatnonzero(np.isin(g, mine))
-                ids.append(i), keys.append(k)
-                d = len(ids) - 1
-                for x, s, e in zip(g[take].tolist(), first[take].tolist(), (last[take] + LENGTH).tolist()):
-                    found.setdefault(text[s:e], []).append((d, x, s))
-                size += len(take) * 150
-                if size > CHUNK:
-                    yield from flush(found, ids, keys)
-                    found, ids, keys, size = {}, [], [], 0
+                if not len(shared) or len(text) < LENGTH:
+                    continue
+                ids.append(i), keys.append(k), texts.append(text)
+            if texts:
+                size += take(ids, keys, texts, shared, found, len(ids) - len(texts))
+                texts = []
+            if size > CHUNK:
+                yield from flush(found, ids, keys)
+                found, ids, keys, size = {}, [], [], 0
         if found:
             yield from flush(found, ids, keys)
 
     return run
 
 
-def _told_anchors(blobs: list[bytes]) -> dict[int, np.ndarray]:
-    """The shared anchors of each row of a document bucket."""
+def _of_row(row: np.ndarray, g: np.ndarray) -> np.ndarray:
+    return _mix(row.view(np.uint64), g)
+
+
+def _told_anchors(blobs: list[bytes]) -> np.ndarray:
+    """The shared anchors of a document bucket's rows: one number for each row and anchor, sorted."""
     if not blobs:
-        return {}
-    row, g = (np.concatenate(x) for x in zip(*(_unpack(b, np.int64, np.uint64) for b in blobs)))
-    order = np.argsort(row, kind="stable")
-    row, g = row[order], g[order]
-    at = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-    return dict(zip(row[at].tolist(), np.split(g, at[1:])))
+        return np.empty(0, np.uint64)
+    row, g = (np.concatenate(x) for x in zip(*map(_untell, blobs)))
+    out = _of_row(row, g)
+    out.sort()
+    return out
 
 
 def _sorted_contexts(homes: int):
     """(bucket, blob) rows: refine the suffixes of each anchor's contexts; the strings to remove, or those of a large anchor."""
 
+    def contexts_of(blob: bytes) -> tuple:
+        low, docs, local, start, size, packed = _unpack(blob, np.uint8, np.int64, np.uint8, np.uint32, np.uint8, np.uint8)
+        doc_id, row = docs.reshape(-1, 2)[_unplaned(local, 3).astype(np.int64)].T
+        text = np.frombuffer(zstandard.decompress(packed.tobytes()), np.uint8)
+        return _unplaned(low, 5), doc_id, row, start.astype(np.int64), size.astype(np.int64), text
+
     def settle(table, at: np.ndarray) -> tuple:
         """Runs of whole anchors' contexts: (row, start, end) of the strings that a smaller document has."""
         g, doc_id, row, start, offset, size, text = table
+        # Of equal contexts only the smallest document's is sorted (the rows are in order of doc_id); all of the others' strings go.
+        seen: dict[bytes, int] = {}
+        whole = np.zeros(len(at), bool)
+        parts = []
+        for k, (o, n, i) in enumerate(zip(offset[at].tolist(), size[at].tolist(), doc_id[at].tolist())):
+            part = text[o : o + n].tobytes()
+            if seen.setdefault(part, i) < i:
+                whole[k] = True
+            else:
+                parts.append(part)
+        gone, at = at[whole], at[~whole]
         sizes = size[at]
-        parts = [text[o : o + n] for o, n in zip(offset[at].tolist(), sizes.tolist())]
-        joined = np.concatenate(parts)
+        joined = np.frombuffer(b"".join(parts), np.uint8)
         base = np.cumsum(sizes) - sizes
         count = sizes - LENGTH + 1
         owner = np.repeat(np.arange(len(at)), count)
@@ -332,12 +462,13 @@ def _sorted_contexts(homes: int):
         ids = doc_id[at][owner]
         lost = least_of(classes, ids) < ids
         s = start[at][owner[lost]] + inner[lost]
-        return row[at][owner[lost]], s, s + LENGTH
+        ends = np.concatenate((start[gone] + size[gone], s + LENGTH))
+        return np.concatenate((row[gone], row[at][owner[lost]])), np.concatenate((start[gone], s)), ends
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, blobs in _by_bucket(batches):
-            g, doc_id, row, start, size, text = (np.concatenate(x) for x in zip(*(_unpack(b, np.uint64, np.int64, np.int64, np.int64, np.uint16, np.uint8) for b in blobs)))
-            size = size.astype(np.int64)
+            g, doc_id, row, start, size, text = (np.concatenate(x) for x in zip(*map(contexts_of, blobs)))
+            blobs.clear()
             offset = np.cumsum(size) - size
             order = np.lexsort((doc_id, g))
             table = tuple(x[order] for x in (g, doc_id, row, start, offset, size)) + (text,)
@@ -416,7 +547,7 @@ def _apply(names: list[str], keep_columns: bool):
             columns += [pa.array(removed, pa.int64()), pa.array(count, pa.int64())]
             if not keep_columns:
                 columns.append(pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()))
-            last = ["_kept", "n_removed", "n_spans"] if keep_columns else ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            last = ["_kept", "_n_removed", "_n_spans"] if keep_columns else ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
             yield pa.record_batch(columns, names=[*names, *last])
 
     return run
@@ -426,22 +557,20 @@ def _removed(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """docs: doc_id, text, others. The documents with `_row`, the removed runs (bucket, blob) and the number of document buckets."""
     prepare(docs.sparkSession)
     _, size = input_bytes(docs, "text")
-    homes, buckets = max(8, size // CHUNK), max(8, size // BUCKET)
+    homes, buckets = max(8, size // HOME), max(8, size // BUCKET)
     told = docs.withColumn("_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("_row", F.xxhash64("doc_id", "text"))
     lean = told.select("_id", "_row", "text")
 
-    first = lean.mapInArrow(_anchors(buckets, homes), PACKED)
-    met = Stash(first, "suffix-anchors")
-    asked = met.df.filter(F.col("kind") == ASK).select("bucket", "blob").repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    shared = Stash(asked.mapInArrow(_shared(homes), PACKED), "suffix-shared")
-    answers = met.df.filter(F.col("kind") == TELL).select("bucket", "blob").union(shared.df.select("bucket", "blob"))
+    packed = lean.mapInArrow(_anchors(buckets, homes), PACKED)
+    asked = packed.select((F.col("kind") * 1_000_003 + F.col("bucket")).alias("key"), "blob", "kind", "bucket").repartition(buckets, "key").sortWithinPartitions("key")
+    shared = Stash(asked.mapInArrow(_shared(buckets, homes), PACKED), "suffix-shared")
+    answers = shared.df.select("bucket", "blob")
 
     home = F.expr(f"cast(case when _row >= 0 then _row % {homes} else ((_row & 9223372036854775807L) % {homes} + {pow(2, 63, homes)}) % {homes} end as int)")
     side = answers.select("bucket", F.lit(0).alias("kind"), "blob", *(F.lit(None).cast(t).alias(c) for c, t in (("_id", "long"), ("_row", "long"), ("text", "binary"))))
     text = lean.select(home.alias("bucket"), F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("blob"), "_id", "_row", F.col("text").cast("binary").alias("text")).filter("text is not null")
     both = side.union(text).repartition(homes, "bucket").sortWithinPartitions("bucket", "kind")
     contexts = Stash(both.mapInArrow(_contexts(buckets, homes), SPAN), "suffix-contexts")
-    met.drop()
     shared.drop()
 
     asked = contexts.df.filter(F.col("kind") == ASK).select("bucket", "blob").repartition(buckets, "bucket").sortWithinPartitions("bucket")
@@ -483,6 +612,6 @@ def dedup(docs: DataFrame) -> DataFrame:
     """All columns of docs, with the text that is left; a character that is cut apart goes. Rows that lose all of a text go."""
     others = [c for c in docs.columns if c != "text"]
     told, removed, homes = _removed(docs)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text") + ", _kept string, n_removed long, n_spans long"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text") + ", _kept string, _n_removed long, _n_spans long"
     cut = _joined(told, removed, homes, others).mapInArrow(_apply(others, True), schema)
-    return cut.filter("_kept <> '' or n_removed = 0").select(*(F.col("_kept").alias(c) if c == "text" else F.col(c) for c in docs.columns))
+    return cut.filter("_kept <> '' or _n_removed = 0").select(*(F.col("_kept").alias(c) if c == "text" else F.col(c) for c in docs.columns))
