@@ -36,8 +36,8 @@ LEAST = 50
 METRICS = {
     "word_length": ("word_chars", "n_words", 200, True),
     "symbols": ("n_symbols", "n_words", 25, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 25, False),
-    "repeated": ("n_repeat_words", "n_words", 25, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 60, False),
+    "repeated": ("n_repeat_words", "n_words", 45, False),
 }
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]

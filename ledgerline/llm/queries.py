@@ -136,7 +136,7 @@ p AS (
 o AS (
   SELECT DISTINCT v.r FROM v JOIN p
     ON p.lang IS NOT DISTINCT FROM v.lang AND p.source IS NOT DISTINCT FROM v.source AND p.metric = v.metric
-  WHERE v.v > hi + 6 * greatest(hi - lo, CASE v.metric WHEN 1 THEN 200 ELSE 25 END)
+  WHERE v.v > hi + 6 * greatest(hi - lo, CASE v.metric WHEN 1 THEN 200 WHEN 2 THEN 25 WHEN 3 THEN 60 ELSE 45 END)
      OR v.metric = 1 AND v.v < lo - 6 * greatest(hi - lo, 200))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND o.r IS NULL AS kept

@@ -38,10 +38,12 @@ from .common import Stash, input_bytes, prepare, stash
 
 LENGTH = 50
 Q = 24
-#: Bytes of text that a task holds at once, and that a bucket of documents and one of anchors is meant for.
+#: Bytes of text that a task holds at once, and that a bucket of documents and one of anchors is meant for. A partition has
+#: `HOMES` buckets of documents, so that hashing them to partitions evens out.
 CHUNK = 8 << 20
-HOME = 16 << 20
+HOME = 4 << 20
 BUCKET = 8 << 20
+HOMES = 4
 #: Bytes of contexts that are sorted at once, and that one anchor's group may have.
 SORT_BYTES = 1 << 20
 GROUP_BYTES = 1 << 20
@@ -160,13 +162,13 @@ def _rows(schema: list[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.Record
     return pa.record_batch([pa.array(c, t) for c, (_, t) in zip(columns, schema)], names=[n for n, _ in schema])
 
 
-def _split(bucket: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+def _split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """The positions of each bucket that has any, in order."""
     order = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[order], np.arange(n + 1))
-    for b in range(n):
-        if edges[b] < edges[b + 1]:
-            yield b, order[edges[b] : edges[b + 1]]
+    held = bucket[order]
+    edges = np.r_[np.flatnonzero(np.r_[True, held[1:] != held[:-1]]), len(held)] if len(held) else [0]
+    for a, b in zip(edges[:-1], edges[1:]):
+        yield int(held[a]), order[a:b]
 
 
 LOW = np.uint64((1 << 40) - 1)
@@ -245,11 +247,11 @@ def _anchors(buckets: int, homes: int):
         out = []
         many = ~first | np.r_[~first[1:], False]
         home = _doc_bucket(row[d[many]], homes)
-        for b, at in _split(home, homes):
+        for b, at in _split(home):
             out.append((TELL, b, _tell(row[d[many][at]], g[many][at])))
         g, d = g[first], d[first]
         n = np.uint64(buckets)
-        for b, at in _split((g % n).astype(np.int64), buckets):
+        for b, at in _split((g % n).astype(np.int64)):
             own, local = np.unique(d[at], return_inverse=True)
             out.append((ASK, b, _pack(_planes(g[at] // n, 5), row[own], _planes(local.ravel(), 3))))
         yield _rows(_PACKED, out)
@@ -313,7 +315,7 @@ def _shared(buckets: int, homes: int):
             same = g[1:] == g[:-1]
             many = np.r_[same, False] | np.r_[False, same]
             g, row = g[many], row[many]
-            yield _rows(_PACKED, [(TELL, b, _tell(row[at], g[at])) for b, at in _split(_doc_bucket(row, homes), homes)])
+            yield _rows(_PACKED, [(TELL, b, _tell(row[at], g[at])) for b, at in _split(_doc_bucket(row, homes))])
         yield from passed
 
     return run
@@ -338,7 +340,7 @@ def _merge(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
 
 def _told(row: np.ndarray, start: np.ndarray, end: np.ndarray, homes: int) -> list[tuple]:
     row, start, end = _merge(row, start, end)
-    return [(TELL, b, _pack(row[at], start[at], end[at]), None, None, None, None) for b, at in _split(_doc_bucket(row, homes), homes)]
+    return [(TELL, b, _pack(row[at], start[at], end[at]), None, None, None, None) for b, at in _split(_doc_bucket(row, homes))]
 
 
 def _contexts(buckets: int, homes: int):
@@ -569,7 +571,7 @@ def _removed(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     home = F.expr(f"cast(case when _row >= 0 then _row % {homes} else ((_row & 9223372036854775807L) % {homes} + {pow(2, 63, homes)}) % {homes} end as int)")
     side = answers.select("bucket", F.lit(0).alias("kind"), "blob", *(F.lit(None).cast(t).alias(c) for c, t in (("_id", "long"), ("_row", "long"), ("text", "binary"))))
     text = lean.select(home.alias("bucket"), F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("blob"), "_id", "_row", F.col("text").cast("binary").alias("text")).filter("text is not null")
-    both = side.union(text).repartition(homes, "bucket").sortWithinPartitions("bucket", "kind")
+    both = side.union(text).repartition(max(8, homes // HOMES), "bucket").sortWithinPartitions("bucket", "kind")
     contexts = Stash(both.mapInArrow(_contexts(buckets, homes), SPAN), "suffix-contexts")
     shared.drop()
 
@@ -599,7 +601,7 @@ def _joined(told: DataFrame, spans: DataFrame, homes: int, names: list[str]) ->
     fields = {f.name: f.dataType for f in told.schema}
     text = told.select(F.col("_bucket"), F.lit(1).alias("_kind"), F.lit(None).cast("binary").alias("_blob"), "_row", F.col("text").cast("binary").alias("_text"), *names)
     side = spans.select(F.col("bucket").alias("_bucket"), F.lit(0).alias("_kind"), F.col("blob").alias("_blob"), F.lit(None).cast("long"), F.lit(None).cast("binary"), *(F.lit(None).cast(fields[c]) for c in names))
-    return side.union(text).toDF("_bucket", "_kind", "_blob", "_row", "_text", *names).repartition(homes, "_bucket").sortWithinPartitions("_bucket", "_kind")
+    return side.union(text).toDF("_bucket", "_kind", "_blob", "_row", "_text", *names).repartition(max(8, homes // HOMES), "_bucket").sortWithinPartitions("_bucket", "_kind")
 
 
 def spans(docs: DataFrame) -> DataFrame:
