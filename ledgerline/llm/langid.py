@@ -32,7 +32,7 @@ from .common import held_out, prepare
 
 DIMENSIONS = 4096
 PER_LANGUAGE = 600
-STEPS = 300
+STEPS = 150
 
 #: Families of common languages.
 FAMILIES = {
@@ -88,7 +88,12 @@ class Model:
         of = {lang: families.get(lang, lang) for lang in sorted(set(langs))}
         names = sorted(set(of.values()))
         lang, family = np.array(langs), np.array([of[v] for v in langs])
-        machines = [fit_machine(x, np.where(family == f, 1, -1).astype(np.float32)) for f in names] if len(names) > 1 else [(np.zeros(x.shape[1], np.float32), 1.0)]
+        if len(names) == 1:
+            machines = [(np.zeros(x.shape[1], np.float32), 1.0)]
+        else:
+            machines = [fit_machine(x, np.where(family == f, 1, -1).astype(np.float32)) for f in (names if len(names) > 2 else names[:1])]
+            if len(names) == 2:  # the other family's machine is the mirror image
+                machines.append((-machines[0][0], -machines[0][1]))
         languages = {f: [v for v in of if of[v] == f] for f in names}
         pairs = {}
         for f in names:
