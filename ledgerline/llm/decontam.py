@@ -180,7 +180,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD)
     prepare(spark)
     out = None
     for index in indexes(benchmark, threshold):
-        found = docs.select("doc_id", searcher(spark, index)(F.col("text")).alias("_m")).filter(F.size("_m") > 0).select("doc_id", F.inline("_m"))
+        found = docs.select("doc_id", searcher(spark, index)(F.col("text")).alias("__m")).filter(F.size("__m") > 0).select("doc_id", F.inline("__m"))
         out = found if out is None else out.union(found)
     if out is None:
         out = docs.select("doc_id", *(F.lit(None).cast("long").alias(f.name) for f in MATCH)).limit(0)
@@ -193,5 +193,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     prepare(spark)
     out = docs
     for index in indexes(benchmark, threshold):
-        out = out.withColumn("_m", searcher(spark, index)(F.col("text"))).filter(F.size("_m") == 0).select(*docs.columns)
+        out = out.withColumn("__m", searcher(spark, index)(F.col("text"))).filter(F.size("__m") == 0).select(*docs.columns)
     return out

@@ -172,13 +172,13 @@ def predictor(spark, model: Model):
 def predict(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """docs: doc_id, text, lang. Each row's doc_id, held_out, lang_pred and score."""
     model = model or fit(docs)
-    told = docs.select("doc_id", predictor(docs.sparkSession, model)(F.col("text")).alias("_p"))
-    return told.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "_p.lang_pred", "_p.score")
+    told = docs.select("doc_id", predictor(docs.sparkSession, model)(F.col("text")).alias("__p"))
+    return told.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "__p.lang_pred", "__p.score")
 
 
 def keep_known(docs: DataFrame, model: Model | None = None, least: float = 0.0) -> DataFrame:
     """The documents whose language is known, with a score of at least `least`; all their columns."""
     model = model or fit(docs)
-    told = docs.withColumn("_p", predictor(docs.sparkSession, model)(F.col("text")))
-    keep: Column = (F.col("_p.lang_pred") != "und") & (F.col("_p.score") >= least)
+    told = docs.withColumn("__p", predictor(docs.sparkSession, model)(F.col("text")))
+    keep: Column = (F.col("__p.lang_pred") != "und") & (F.col("__p.score") >= least)
     return told.filter(keep).select(*docs.columns)

@@ -263,12 +263,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     marked = Stash(docs.select("doc_id", fingerprints("text").alias("fp")), "simhash-fingerprints")
     group = groups(marked.df)
     # Of each group the rows with its smallest id: one (id, fingerprint) of them, and how many rows bear it.
-    rows = marked.df.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("_n")).join(group, "fp")
-    first = rows.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id", "doc_id").agg(F.min(F.struct("fp", "_n")).alias("_x"))
-    first = stash(first.select(F.col("doc_id").alias("_id"), F.col("_x.fp").alias("_fp"), F.col("_x._n").alias("_n")), "simhash-first")
-    told = docs.withColumn("_mark", mark)
-    kept = told.join(first, (F.col("_mark") == F.col("_fp")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    one = kept.filter("_n = 1").select(*docs.columns)
-    if first.filter("_n > 1").isEmpty():
+    rows = marked.df.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("__n")).join(group, "fp")
+    first = rows.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id", "doc_id").agg(F.min(F.struct("fp", "__n")).alias("__x"))
+    first = stash(first.select(F.col("doc_id").alias("__id"), F.col("__x.fp").alias("__fp"), F.col("__x.__n").alias("__n")), "simhash-first")
+    told = docs.withColumn("__mark", mark)
+    kept = told.join(first, (F.col("__mark") == F.col("__fp")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    one = kept.filter("__n = 1").select(*docs.columns)
+    if first.filter("__n > 1").isEmpty():
         return one
-    return one.union(kept.filter("_n > 1").dropDuplicates(["_id", "_fp"]).select(*docs.columns))
+    return one.union(kept.filter("__n > 1").dropDuplicates(["__id", "__fp"]).select(*docs.columns))

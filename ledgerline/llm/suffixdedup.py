@@ -17,7 +17,7 @@ contexts of its own: only the smallest document of each goes on, so a passage th
 share costs one entry per chunk. An anchor with more than `GROUP_BYTES` of different contexts isn't sorted by one task: its
 strings go, one by one, through an aggregate and a join on the string itself.
 
-Defined results: null or empty text: nothing to remove. A null doc_id counts as larger than any. Rows with the same doc_id
+Defined results: null or empty text: nothing to remove (`dedup` keeps a null). A null doc_id counts as larger than any. Rows with the same doc_id
 are one document's and remove nothing of each other; each row is kept. Empty table: empty result. Other columns are
 carried along by `dedup` and ignored by `spans`.
 """
@@ -536,41 +536,43 @@ def _apply(names: list[str], keep_columns: bool):
                         row, start, end = row[order], start[order], end[order]
                         cutpoints = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
                         spans = dict(zip(row[cutpoints].tolist(), zip(np.split(start, cutpoints[1:]), np.split(end, cutpoints[1:]))))
-                text, n, m = cut(t.as_py() or b"", spans.get(k))
-                take.append(at), texts.append(text), removed.append(n), count.append(m)
+                raw = t.as_py()
+                text, n, m = cut(raw or b"", spans.get(k))
+                take.append(at), removed.append(n), count.append(m)
+                texts.append(None if raw is None and keep_columns else text)
             if not take:
                 continue
             rest = batch.select(names).take(pa.array(take)) if names else None
             columns = [rest.column(i) for i in range(len(names))] if names else []
             if keep_columns:
-                columns.append(pa.array([x.decode("utf-8", "ignore") for x in texts], pa.string()))
+                columns.append(pa.array([None if x is None else x.decode("utf-8", "ignore") for x in texts], pa.string()))
             else:
                 columns += [pa.array([len(x) + n for x, n in zip(texts, removed)], pa.int64())]
             columns += [pa.array(removed, pa.int64()), pa.array(count, pa.int64())]
             if not keep_columns:
                 columns.append(pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()))
-            last = ["_kept", "_n_removed", "_n_spans"] if keep_columns else ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            last = ["__kept", "__n_removed", "__n_spans"] if keep_columns else ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
             yield pa.record_batch(columns, names=[*names, *last])
 
     return run
 
 
 def _removed(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """docs: doc_id, text, others. The documents with `_row`, the removed runs (bucket, blob) and the number of document buckets."""
+    """docs: doc_id, text, others. The documents with `__row`, the removed runs (bucket, blob) and the number of document buckets."""
     prepare(docs.sparkSession)
     _, size = input_bytes(docs, "text")
     homes, buckets = max(8, size // HOME), max(8, size // BUCKET)
-    told = docs.withColumn("_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("_row", F.xxhash64("doc_id", "text"))
-    lean = told.select("_id", "_row", "text")
+    told = docs.withColumn("__id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("__row", F.xxhash64("doc_id", "text"))
+    lean = told.select("__id", "__row", "text")
 
     packed = lean.mapInArrow(_anchors(buckets, homes), PACKED)
     asked = packed.select((F.col("kind") * 1_000_003 + F.col("bucket")).alias("key"), "blob", "kind", "bucket").repartition(buckets, "key").sortWithinPartitions("key")
     shared = Stash(asked.mapInArrow(_shared(buckets, homes), PACKED), "suffix-shared")
     answers = shared.df.select("bucket", "blob")
 
-    home = F.expr(f"cast(case when _row >= 0 then _row % {homes} else ((_row & 9223372036854775807L) % {homes} + {pow(2, 63, homes)}) % {homes} end as int)")
-    side = answers.select("bucket", F.lit(0).alias("kind"), "blob", *(F.lit(None).cast(t).alias(c) for c, t in (("_id", "long"), ("_row", "long"), ("text", "binary"))))
-    text = lean.select(home.alias("bucket"), F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("blob"), "_id", "_row", F.col("text").cast("binary").alias("text")).filter("text is not null")
+    home = F.expr(f"cast(case when __row >= 0 then __row % {homes} else ((__row & 9223372036854775807L) % {homes} + {pow(2, 63, homes)}) % {homes} end as int)")
+    side = answers.select("bucket", F.lit(0).alias("kind"), "blob", *(F.lit(None).cast(t).alias(c) for c, t in (("__id", "long"), ("__row", "long"), ("text", "binary"))))
+    text = lean.select(home.alias("bucket"), F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("blob"), "__id", "__row", F.col("text").cast("binary").alias("text")).filter("text is not null")
     both = side.union(text).repartition(max(8, homes // HOMES), "bucket").sortWithinPartitions("bucket", "kind")
     contexts = Stash(both.mapInArrow(_contexts(buckets, homes), SPAN), "suffix-contexts")
     shared.drop()
@@ -584,7 +586,7 @@ def _removed(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
         least = large.groupBy("string").agg(F.min("doc_id").alias("least"))
         lost = large.join(least, "string").filter("least < doc_id").select("row", "start")
         spans = spans.union(stash(lost.mapInArrow(_as_spans(homes), PACKED), "suffix-large").select("bucket", "blob"))
-    return told.withColumn("_bucket", home), spans, homes
+    return told.withColumn("__bucket", home), spans, homes
 
 
 def _as_spans(homes: int):
@@ -599,9 +601,9 @@ def _as_spans(homes: int):
 def _joined(told: DataFrame, spans: DataFrame, homes: int, names: list[str]) -> DataFrame:
     """Documents and spans of each bucket in one partition, spans first."""
     fields = {f.name: f.dataType for f in told.schema}
-    text = told.select(F.col("_bucket"), F.lit(1).alias("_kind"), F.lit(None).cast("binary").alias("_blob"), "_row", F.col("text").cast("binary").alias("_text"), *names)
-    side = spans.select(F.col("bucket").alias("_bucket"), F.lit(0).alias("_kind"), F.col("blob").alias("_blob"), F.lit(None).cast("long"), F.lit(None).cast("binary"), *(F.lit(None).cast(fields[c]) for c in names))
-    return side.union(text).toDF("_bucket", "_kind", "_blob", "_row", "_text", *names).repartition(max(8, homes // HOMES), "_bucket").sortWithinPartitions("_bucket", "_kind")
+    text = told.select(F.col("__bucket"), F.lit(1).alias("__kind"), F.lit(None).cast("binary").alias("__blob"), "__row", F.col("text").cast("binary").alias("__text"), *names)
+    side = spans.select(F.col("bucket").alias("__bucket"), F.lit(0).alias("__kind"), F.col("blob").alias("__blob"), F.lit(None).cast("long"), F.lit(None).cast("binary"), *(F.lit(None).cast(fields[c]) for c in names))
+    return side.union(text).toDF("__bucket", "__kind", "__blob", "__row", "__text", *names).repartition(max(8, homes // HOMES), "__bucket").sortWithinPartitions("__bucket", "__kind")
 
 
 def spans(docs: DataFrame) -> DataFrame:
@@ -614,6 +616,6 @@ def dedup(docs: DataFrame) -> DataFrame:
     """All columns of docs, with the text that is left; a character that is cut apart goes. Rows that lose all of a text go."""
     others = [c for c in docs.columns if c != "text"]
     told, removed, homes = _removed(docs)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text") + ", _kept string, _n_removed long, _n_spans long"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text") + ", __kept string, __n_removed long, __n_spans long"
     cut = _joined(told, removed, homes, others).mapInArrow(_apply(others, True), schema)
-    return cut.filter("_kept <> '' or _n_removed = 0").select(*(F.col("_kept").alias(c) if c == "text" else F.col(c) for c in docs.columns))
+    return cut.filter("__kept <> '' or __n_removed = 0").select(*(F.col("__kept").alias(c) if c == "text" else F.col(c) for c in docs.columns))

@@ -154,7 +154,7 @@ def test_dedup_keeps_columns(spark):
     text = "".join(random.Random(8).choice("abcdefgh ") for _ in range(200))
     rows = [(1, text, "en"), (2, text, None), (3, "own é " + text, "de"), (4, None, "x"), (5, "", "y")]
     got = {r["doc_id"]: r for r in suffixdedup.dedup(spark.createDataFrame(rows, "doc_id long, text string, n_spans string")).collect()}
-    assert set(got) == {1, 3, 4, 5} and got[3]["text"] == "own é " and got[3]["n_spans"] == "de" and got[1]["text"] == text
+    assert set(got) == {1, 3, 4, 5} and got[3]["text"] == "own é " and got[3]["n_spans"] == "de" and got[1]["text"] == text and got[4]["text"] is None and got[5]["text"] == ""
 
 
 def test_refine_sorts_by_content():
