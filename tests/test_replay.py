@@ -1,0 +1,81 @@
+"""Replays of dead letters, idempotency keys, the workload generator and progress."""
+
+from pyspark.sql import functions as F
+
+from ledgerline.functions.rules import validate
+from ledgerline.operators import aggregate
+from ledgerline.plans.generator import workload
+from ledgerline.schema import MERCHANTS
+from ledgerline.sources import dead_letters, envelope
+from ledgerline.streaming.job import LedgerJob, ReferenceSet, read_log
+from ledgerline.streaming.progress import LakeStats, ProgressLog
+from ledgerline.streaming.replay import Idempotency, Outcome, Replayer
+
+
+def test_replay_states(spark, tmp_path):
+    known = {"MERCH_001"}
+    j = LedgerJob(spark, str(tmp_path / "a"), ReferenceSet(lambda: set(known), ttl=0))
+    row = workload(spark, 1).withColumn("merchant_id", F.lit("MERCH_019"))
+    bad = row.withColumn("transaction_id", F.lit("bad")).withColumn("offset", F.lit(1).cast("long"))
+    j.process(envelope.to_json(envelope.build(row.union(bad))), 0)
+    letters = lambda: dead_letters.parse(spark.read.parquet(f"{tmp_path}/a/dead_letters").withColumn("offset", F.get_json_object("value", "$.offset").cast("long")))
+    sent = []
+
+    def publish(log):
+        sent.append(1)
+        if "MERCH_019" in known:
+            j.process(log, len(sent))
+
+    told = ["MERCH_019"]
+    r = Replayer(spark, j.table, letters, lambda: told, publish, wait=0, sleep=lambda s: None)
+    assert [r.replay(x).status for x in ("", "abc", "-4", "99")] == ["NOT_FOUND"] * 4
+    assert r.replay("1").status == "STILL_INVALID" and not sent
+    assert r.replay("0", "me", "k").status == "PENDING" and len(sent) == 1  # published; the pipeline doesn't know the merchant yet
+    known.add("MERCH_019")
+    got = r.replay("0", "me", "k")
+    assert (got.status, got.lake_lsn, len(sent)) == ("APPLIED", 1_000_000, 2)
+    assert r.replay("0", "me", "k") is got and r.replay("0").status == "ALREADY_APPLIED" and len(sent) == 2
+    stats = LakeStats(j.table)
+    assert stats.get()["live"] == 1 and stats.get() is stats.get()
+
+
+def test_idempotency_keys():
+    now = [0.0]
+    keys = Idempotency(most=2, expires=120, clock=lambda: now[0])
+    assert keys.begin("a", "k", "x") == ("fresh", None) and keys.begin("a", "k", "x")[0] == "in_progress"
+    assert keys.begin("a", "k", "y")[0] == "conflict" and keys.begin("b", "k", "y")[0] == "fresh"
+    now[0] = 121
+    assert keys.begin("a", "k", "x")[0] == "fresh"
+    done = Outcome("APPLIED")
+    keys.end("a", "k", done)
+    assert keys.begin("a", "k", "x") == ("replayed", done)
+    keys.end("b", "k", Outcome("PENDING"))
+    assert keys.begin("b", "k", "z")[0] == "fresh"
+
+
+def test_workload(spark):
+    rows = workload(spark, 5000, whale=True).persist()
+    assert validate(rows, MERCHANTS)[1].isEmpty() and rows.select("lsn").distinct().count() == 5000
+    ops = {r["op"]: r["count"] / 5000 for r in rows.groupBy("op").count().collect()}
+    assert abs(ops["c"] - 0.7) < 0.03 and abs(ops["u"] - 0.2) < 0.03 and abs(ops["d"] - 0.1) < 0.03
+    assert 0.37 < rows.filter("merchant_id = 'MERCH_007'").count() / 5000 < 0.48
+    assert rows.exceptAll(workload(spark, 5000, whale=True)).isEmpty()
+    assert {tuple(r) for r in aggregate.salted(rows).collect()} == {tuple(r) for r in aggregate.by_key(rows).collect()}
+
+
+def test_progress_log(spark, tmp_path):
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        envelope.to_json(envelope.build(workload(spark, 20))).coalesce(1).write.parquet(str(tmp_path / "log"))
+        j = LedgerJob(spark, str(tmp_path / "a"), ReferenceSet(lambda: set(MERCHANTS)))
+        j.start(read_log(spark, str(tmp_path / "log")), str(tmp_path / "ck")).awaitTermination()
+        import time
+
+        for _ in range(50):
+            if log.last_input_rows() is not None:
+                break
+            time.sleep(0.1)
+        assert log.table(spark).count() >= 1
+    finally:
+        spark.streams.removeListener(log)
