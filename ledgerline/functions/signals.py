@@ -109,3 +109,20 @@ def alert_intervals(samples: DataFrame, hold: int) -> DataFrame:
     runs = told.filter("active").withColumn("_start", F.min("t").over(Window.partitionBy("rule", "_run")))
     fired = runs.filter(F.col("t") - F.col("_start") >= hold)
     return fired.groupBy("rule", "_run").agg(F.min("t").alias("fired_at"), F.min("_off").alias("resolved_at")).drop("_run")
+
+
+def acknowledged(alerts: DataFrame, acks: DataFrame) -> DataFrame:
+    """alerts with acked_at, acked_by and state. acks: rule, t, actor. Only a live alert can be acknowledged, and only once: later acks and those of resolved alerts count for nothing."""
+    a = acks.select(F.col("rule").alias("_rule"), F.col("t").alias("_t"), "actor")
+    live = (F.col("rule") == F.col("_rule")) & (F.col("_t") >= F.col("fired_at")) & (F.col("resolved_at").isNull() | (F.col("_t") < F.col("resolved_at")))
+    first = alerts.join(a, live, "left").groupBy("rule", "fired_at", "resolved_at").agg(F.min(F.struct("_t", "actor")).alias("_a"))
+    at = F.col("_a._t")
+    state = F.when(F.col("resolved_at").isNotNull(), "resolved").when(at.isNotNull(), "acknowledged").otherwise("firing")
+    return first.select("rule", "fired_at", "resolved_at", at.alias("acked_at"), F.col("_a.actor").alias("acked_by"), state.alias("state"))
+
+
+def exposition(gauges: dict[str, float], offsets: dict[str, int], prefix: str = "ledger") -> str:
+    """Gauges and each partition's processed offset as text lines, in the form that metrics_text reads."""
+    lines = [f"{prefix}_{name} {value:g}" for name, value in sorted(gauges.items())]
+    lines += [f'{prefix}_processed_offset{{partition="{p}"}} {o}' for p, o in sorted(offsets.items())]
+    return "\n".join(lines) + "\n"

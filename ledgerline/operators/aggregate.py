@@ -13,11 +13,15 @@ def by_key(rows: DataFrame, key: str = "merchant_id") -> DataFrame:
 
 def salted(rows: DataFrame, key: str = "merchant_id", salts: int = 8, on: str = "transaction_id") -> DataFrame:
     """The same in two phases: rows of a hot key are dealt to `salts` tasks, whose sums are then added."""
-    dealt = rows.select(key, "amount_minor", F.pmod(F.hash(on), F.lit(salts)).alias("_salt")).repartition(key, "_salt")
-    part = dealt.groupBy(key, "_salt").agg(F.sum("amount_minor").alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    part = dealt(rows, key, salts, on).groupBy(key, "_salt").agg(F.sum("amount_minor").alias("_sum"), F.count(F.lit(1)).alias("_n"))
     return part.groupBy(key).agg(F.sum("_sum").alias("total_minor"), F.sum("_n").alias("n"))
 
 
+def dealt(rows: DataFrame, key: str, salts: int, on: str) -> DataFrame:
+    """Rows dealt by key and salt; with one salt, by key alone."""
+    return rows.select(key, "amount_minor", F.pmod(F.hash(on), F.lit(salts)).alias("_salt")).repartition(key, "_salt")
+
+
 def top(totals: DataFrame, k: int = 5, key: str = "merchant_id") -> DataFrame:
     return totals.orderBy(F.col("total_minor").desc_nulls_last(), F.col(key)).limit(k)
 
@@ -57,3 +61,9 @@ def trend_verdicts(stats: DataFrame, dlq_rate: float = 0.001, tolerance: float =
     nulls = F.when(F.col("nulls").isNull(), "skipped").when(F.col("nulls") > 0, "alert").otherwise("ok")
     told = stats.select(dead.alias("dlq_verdict"), flow.alias("throughput_verdict"), nulls.alias("null_verdict"))
     return told.withColumn("alerts", sum((F.when(F.col(c) == "alert", 1).otherwise(0) for c in told.columns), F.lit(0)))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """min, median and max of the rows that the partitions with any have: how evenly an exchange deals."""
+    each = rows.groupBy(F.spark_partition_id().alias("_p")).agg(F.count(F.lit(1)).alias("n"))
+    return each.agg(F.min("n").alias("least"), F.expr("percentile_disc(0.5) within group (order by n)").alias("median"), F.max("n").alias("most"))

@@ -655,6 +655,16 @@ def alerts_since_seq(spark, sf_dir):
     return alerts.select("rule", F.inline(moves)).filter("t > 500")
 
 
+@query(_ALERTS + """, ck AS (SELECT rule, t, 'op' || t % 3 AS actor FROM ac WHERE active AND t % 7 = 0),
+aa AS (SELECT al.rule, fired_at, resolved_at, min(t) AS acked_at FROM al LEFT JOIN ck ON ck.rule = al.rule AND t >= fired_at AND (resolved_at IS NULL OR t < resolved_at) GROUP BY ALL)
+SELECT *, 'op' || acked_at % 3 AS acked_by, CASE WHEN resolved_at IS NOT NULL THEN 'resolved' WHEN acked_at IS NOT NULL THEN 'acknowledged' ELSE 'firing' END AS state FROM aa""")
+def alert_states(spark, sf_dir):
+    """Alerts with the first acknowledgement that came while they were live."""
+    rows = _evaluated(spark, sf_dir)
+    acks = rows.filter("active and t % 7 = 0").select("rule", "t", F.concat(F.lit("op"), (F.col("t") % 3).cast("string")).alias("actor"))
+    return signals.acknowledged(signals.alert_intervals(rows, 4), acks)
+
+
 @query("""
 , au AS (SELECT event_id AS id, user_id AS actor, event_type AS action FROM events WHERE event_id < 900 ORDER BY event_id DESC LIMIT 21),
 ra AS (SELECT *, row_number() OVER (ORDER BY id DESC) AS n FROM au)

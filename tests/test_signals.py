@@ -95,3 +95,26 @@ def test_trend_verdicts(spark):
     rows = [(100, 1.0, 1.0, 0, 0), (100, 2.0, 1.0, 1, 1), (0, 0.0, 1.0, 5, 0), (40, 9.0, 1.0, 0, None), (60, 9.0, 0.01, -1, 0)]
     got = aggregate.trend_verdicts(spark.createDataFrame(rows, "recent long, recent_rps double, baseline_rps double, dlq long, nulls long")).collect()
     assert [tuple(r) for r in got] == [("ok", "ok", "ok", 0), ("alert", "alert", "alert", 3), ("skipped", "skipped", "ok", 0), ("ok", "skipped", "skipped", 0), ("alert", "skipped", "ok", 1)]
+
+
+def test_acknowledgements(spark):
+    alerts = spark.createDataFrame([("a", 10, 20), ("a", 30, None), ("b", 5, None)], "rule string, fired_at long, resolved_at long")
+    acks = spark.createDataFrame([("a", 9, "early"), ("a", 12, "x"), ("a", 15, "late"), ("a", 20, "gone"), ("a", 31, "y")], "rule string, t long, actor string")
+    got = {(r["rule"], r["fired_at"]): (r["acked_at"], r["acked_by"], r["state"]) for r in signals.acknowledged(alerts, acks).collect()}
+    assert got == {("a", 10): (12, "x", "resolved"), ("a", 30): (31, "y", "acknowledged"), ("b", 5): (None, None, "firing")}
+
+
+def test_exposition_round_trip(spark):
+    text = signals.exposition({"dlq_rows": 3, "input_rows": 200.0}, {"0": 1313, "2": 1500})
+    got = signals.metrics_text(spark.createDataFrame([(x,) for x in text.splitlines()], "line string"), "ledger_processed_offset").collect()
+    assert {(r["partition"], r["value"]) for r in got} == {(0, 1313), (2, 1500)} and "ledger_dlq_rows 3" in text
+
+
+def test_salting_evens_out_what_tasks_read(spark):
+    rows = spark.range(8000).selectExpr("case when id % 10 < 4 then 'whale' else 'm' || id % 20 end merchant_id", "id amount_minor", "'t' || id transaction_id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plain, salted = (aggregate.spread(aggregate.dealt(rows, "merchant_id", n, "transaction_id")).first() for n in (1, 8))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert salted["most"] / salted["least"] < plain["most"] / plain["least"]
