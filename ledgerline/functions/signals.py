@@ -102,13 +102,16 @@ def alert_intervals(samples: DataFrame, hold: int) -> DataFrame:
     """samples: rule, t, active. Alerts of conditions that hold for `hold` seconds: rule, fired_at, resolved_at (null: live).
 
     Gaps and islands: runs of active samples between inactive ones; a run fires at its first sample at least `hold` seconds after
-    its start, is one alert until the next inactive sample, and resolves there.
+    its start, is one alert until the next inactive sample, and resolves there. Each frame is read once: an inactive sample opens
+    a run, so the next run's opening ends this one.
     """
-    w = Window.partitionBy("rule").orderBy("t")
-    told = samples.withColumn("_run", F.count(F.when(~F.col("active"), 1)).over(w)).withColumn("_off", F.min(F.when(~F.col("active"), F.col("t"))).over(w.rowsBetween(1, Window.unboundedFollowing)))
-    runs = told.filter("active").withColumn("_start", F.min("t").over(Window.partitionBy("rule", "_run")))
-    fired = runs.filter(F.col("t") - F.col("_start") >= hold)
-    return fired.groupBy("rule", "_run").agg(F.min("t").alias("fired_at"), F.min("_off").alias("resolved_at")).drop("_run")
+    off = ~F.col("active")
+    told = samples.withColumn("_run", F.count(F.when(off, 1)).over(Window.partitionBy("rule").orderBy("t")))
+    began = F.min(F.when(F.col("active"), F.col("t"))).over(Window.partitionBy("rule", "_run"))
+    held = told.withColumn("_held", F.col("active") & (F.col("t") - began >= hold))
+    runs = held.groupBy("rule", "_run").agg(F.min(F.when(F.col("_held"), F.col("t"))).alias("fired_at"), F.min(F.when(off, F.col("t"))).alias("_opened"))
+    ended = runs.withColumn("resolved_at", F.lead("_opened").over(Window.partitionBy("rule").orderBy("_run")))
+    return ended.filter("fired_at is not null").select("rule", "fired_at", "resolved_at")
 
 
 def acknowledged(alerts: DataFrame, acks: DataFrame) -> DataFrame:
