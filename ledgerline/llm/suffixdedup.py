@@ -246,9 +246,9 @@ def _anchors(buckets: int, homes: int):
         first = np.r_[True, g[1:] != g[:-1]]
         out = []
         many = ~first | np.r_[~first[1:], False]
-        home = _doc_bucket(row[d[many]], homes)
-        for b, at in _split(home):
-            out.append((TELL, b, _tell(row[d[many][at]], g[many][at])))
+        known, anchor = row[d[many]], g[many]
+        for b, at in _split(_doc_bucket(known, homes)):
+            out.append((TELL, b, _tell(known[at], anchor[at])))
         g, d = g[first], d[first]
         n = np.uint64(buckets)
         for b, at in _split((g % n).astype(np.int64)):
