@@ -39,7 +39,7 @@ from .common import Stash, input_bytes, prepare, stash
 LENGTH = 50
 Q = 24
 #: Bytes of text that a task holds at once, and that a bucket of documents and one of anchors is meant for. A partition has
-#: `HOMES` buckets of documents, so that hashing them to partitions evens out.
+#: `HOMES` buckets of documents, or two of anchors, so that hashing them to partitions evens out and fewer files are written.
 CHUNK = 8 << 20
 HOME = 4 << 20
 BUCKET = 8 << 20
@@ -566,7 +566,7 @@ def _removed(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     lean = told.select("__id", "__row", "text")
 
     packed = lean.mapInArrow(_anchors(buckets, homes), PACKED)
-    asked = packed.select((F.col("kind") * 1_000_003 + F.col("bucket")).alias("key"), "blob", "kind", "bucket").repartition(buckets, "key").sortWithinPartitions("key")
+    asked = packed.select((F.col("kind") * 1_000_003 + F.col("bucket")).alias("key"), "blob", "kind", "bucket").repartition(max(8, buckets // 2), "key").sortWithinPartitions("key")
     shared = Stash(asked.mapInArrow(_shared(buckets, homes), PACKED), "suffix-shared")
     answers = shared.df.select("bucket", "blob")
 
@@ -577,7 +577,7 @@ def _removed(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     contexts = Stash(both.mapInArrow(_contexts(buckets, homes), SPAN), "suffix-contexts")
     shared.drop()
 
-    asked = contexts.df.filter(F.col("kind") == ASK).select("bucket", "blob").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    asked = contexts.df.filter(F.col("kind") == ASK).select("bucket", "blob").repartition(max(8, buckets // 2), "bucket").sortWithinPartitions("bucket")
     settled = Stash(asked.mapInArrow(_sorted_contexts(homes), SPAN), "suffix-settled")
     spans = contexts.df.filter(F.col("kind") == TELL).select("bucket", "blob").union(settled.df.filter(F.col("kind") == TELL).select("bucket", "blob"))
 
