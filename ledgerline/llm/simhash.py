@@ -240,13 +240,13 @@ def links(distinct: DataFrame) -> DataFrame:
 
 
 def groups(marked: DataFrame) -> DataFrame:
-    """marked: doc_id, fp. Each distinct fp with its component's smallest doc_id: fp, component_id."""
+    """marked: doc_id, fp. Each distinct fp with its component: fp, root (one fp of it, which tells components apart) and component_id, its smallest doc_id."""
     each = stash(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     roots = components(links(each.select("fp")))
     rooted = each.join(roots, each["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     rooted = stash(rooted, "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return stash(rooted.join(least, "root").select("fp", "component_id"), "simhash-groups")
+    return stash(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-groups")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -262,9 +262,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     mark = fingerprints.asNondeterministic()("text")
     marked = Stash(docs.select("doc_id", fingerprints("text").alias("fp")), "simhash-fingerprints")
     group = groups(marked.df)
-    # Of each group the rows with its smallest id: one (id, fingerprint) of them, and how many rows bear it.
+    # Of each group the rows with its smallest id: one (id, fingerprint) of them, and how many rows bear it. Groups may share an id or have none.
     rows = marked.df.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("__n")).join(group, "fp")
-    first = rows.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id", "doc_id").agg(F.min(F.struct("fp", "__n")).alias("__x"))
+    first = rows.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id").agg(F.min(F.struct("fp", "__n")).alias("__x"))
     first = stash(first.select(F.col("doc_id").alias("__id"), F.col("__x.fp").alias("__fp"), F.col("__x.__n").alias("__n")), "simhash-first")
     told = docs.withColumn("__mark", mark)
     kept = told.join(first, (F.col("__mark") == F.col("__fp")) & F.col("doc_id").eqNullSafe(F.col("__id")))

@@ -84,6 +84,13 @@ def test_near_duplicates_edges(spark):
     assert sorted((r["doc_id"] for r in kept), key=str) == sorted([3, 7, 11, 13], key=str) and kept[0].asDict().keys() == {"doc_id", "text", "fp", "root"}
 
 
+def test_one_stays_of_each_group_whatever_its_ids(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(100)) for c in "abcde"]
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[2]), (4, texts[3]), (4, texts[4]), (4, texts[4]), (9, texts[4])]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted(zip([None, None, None, 4, 4], texts), key=str)
+
+
 def test_fingerprint_by_hand():
     import xxhash
 
