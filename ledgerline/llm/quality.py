@@ -5,8 +5,10 @@ repeated words per word. For every (lang, source) group and metric a mergeable q
 whose buckets keep the six leading bits of a value (relative error below 1/32), so that sketches merge by adding counts,
 in any order, with one result. Counts are pre-aggregated before the shuffle, hence a hot source costs no more than its buckets.
 
-A group's bounds are Tukey fences about the middle half of its values: beyond Q3 + REACH * spread a value is an
-outlier (for word length also below Q1 - REACH * spread), spread being Q3 - Q1 but at least `SLACK` per mille of words.
+A group's bounds come from its sketches alone. A value is an outlier if it is beyond both the Tukey fence about the middle half of the
+group's values (Q3 + REACH * (Q3 - Q1)) and the group's tail quantile (`METRICS`, per mille); for word length also on the lower
+side. Where a metric is spread out the fence decides, and cuts nothing from a group without outliers; where it is zero for most
+documents, the fence is zero and the tail quantile decides: at most that share of the group goes. Values compare by bucket, so ties with a bound stay.
 Groups of fewer than `LEAST` documents use their language's merged sketch, and languages of fewer that of all documents.
 The bounds, a row per group, join the documents, and those within all bounds are kept.
 
@@ -29,15 +31,15 @@ from .common import prepare, stash
 WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30
-REACH = 6
+REACH = 3
 LEAST = 50
 
-#: Metric: numerator, denominator, the least spread in per mille, and whether low values are outliers too.
+#: Metric: numerator, denominator, the tail quantile in per mille, and whether low values are outliers too.
 METRICS = {
-    "word_length": ("word_chars", "n_words", 200, True),
-    "symbols": ("n_symbols", "n_words", 25, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 60, False),
-    "repeated": ("n_repeat_words", "n_words", 45, False),
+    "word_length": ("word_chars", "n_words", 980, True),
+    "symbols": ("n_symbols", "n_words", 900, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 990, False),
+    "repeated": ("n_repeat_words", "n_words", 990, False),
 }
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
@@ -109,31 +111,32 @@ def sketches(measured: DataFrame) -> DataFrame:
 
 
 def quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """by, metric, total, q1, q3 of the sketches merged to the groups of `by`. A group has at most some hundred buckets."""
+    """by, metric, total, q1, q3, low and top of the sketches merged to the groups of `by`. A group has at most some hundred buckets."""
     merged = sketch.groupBy(*by, "metric", "bucket").agg(F.sum("n").alias("n"))
     packed = merged.groupBy(*by, "metric").agg(F.sum("n").alias("total"), F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("h"))
+    tail = F.coalesce(*(F.when(F.col("metric") == m, F.lit(t)) for m, (_, _, t, _) in METRICS.items()))
 
-    def at(part: float) -> Column:
+    def at(part: Column) -> Column:
+        """The least bucket with at least `part` per mille of the values in it or below."""
         step = F.aggregate(
             "h",
             F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("q")),
-            lambda s, x: F.struct((s["n"] + x["n"]).alias("n"), F.coalesce(s["q"], F.when(s["n"] + x["n"] >= F.col("total") * part, x["bucket"])).alias("q")),
+            lambda s, x: F.struct((s["n"] + x["n"]).alias("n"), F.coalesce(s["q"], F.when((s["n"] + x["n"]) * 1000 >= F.col("total") * part, x["bucket"])).alias("q")),
         )
         return step["q"]
 
-    return packed.select(*by, "metric", "total", at(0.25).alias("q1"), at(0.75).alias("q3"))
+    return packed.select(*by, "metric", "total", at(F.lit(250)).alias("q1"), at(F.lit(750)).alias("q3"), at(1000 - tail).alias("low"), at(tail).alias("top"))
 
 
 def bounds(sketch: DataFrame) -> DataFrame:
     """A row per (lang, source) group: `low_` and `high_` of each metric, from the finest sketch with enough documents."""
     fine = quantiles(sketch, ["lang", "source"])
-    middle = quantiles(sketch, ["lang"]).toDF("l", "m", "total1", "q11", "q31")
-    coarse = quantiles(sketch, []).toDF("c", "total2", "q12", "q32")
+    middle = quantiles(sketch, ["lang"]).toDF("l", "m", "total1", "q11", "q31", "low1", "top1")
+    coarse = quantiles(sketch, []).toDF("c", "total2", "q12", "q32", "low2", "top2")
     told = fine.join(middle, F.col("lang").eqNullSafe(F.col("l")) & (F.col("metric") == F.col("m"))).join(coarse, F.col("metric") == F.col("c"))
     pick = lambda q: F.when(F.col("total") >= LEAST, F.col(q)).when(F.col("total1") >= LEAST, F.col(f"{q}1")).otherwise(F.col(f"{q}2"))
-    slack = F.coalesce(*(F.when(F.col("metric") == m, F.lit(s)) for m, (_, _, s, _) in METRICS.items()))
-    spread = F.greatest(pick("q3") - pick("q1"), slack)
-    ranged = told.select("lang", "source", "metric", (pick("q1") - REACH * spread).alias("low"), (pick("q3") + REACH * spread).alias("high"))
+    reach = REACH * (pick("q3") - pick("q1"))
+    ranged = told.select("lang", "source", "metric", F.least(pick("low"), pick("q1") - reach).alias("low"), F.greatest(pick("top"), pick("q3") + reach).alias("high"))
     return ranged.groupBy("lang", "source").agg(
         *(F.max(F.when(F.col("metric") == m, F.col(x))).alias(f"{x}_{m}") for m, (_, _, _, both) in METRICS.items() for x in (("low", "high") if both else ("high",)))
     )
@@ -150,11 +153,12 @@ def measure(docs: DataFrame) -> DataFrame:
 def judge(docs: DataFrame) -> DataFrame:
     """docs: doc_id, text, lang, source. Each row's counts, base_failed and kept."""
     measured = stash(measure(docs), "quality-metrics")
-    limits = stash(bounds(sketches(measured)), "quality-bounds").toDF("l", "s", *(c for m, v in METRICS.items() for c in ((f"low_{m}", f"high_{m}") if v[3] else (f"high_{m}",))))
+    limits = stash(bounds(sketches(measured)), "quality-bounds").withColumnsRenamed({"lang": "l", "source": "s"})
     told = measured.join(limits, F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s")), "left")
     inside = F.lit(True)
     for m, (_, _, _, both) in METRICS.items():
-        inside = inside & F.coalesce(F.col(f"_{m}") <= F.col(f"high_{m}"), F.lit(True))
+        held = bucket(F.col(f"_{m}"))
+        inside = inside & F.coalesce(held <= F.col(f"high_{m}"), F.lit(True))
         if both:
-            inside = inside & F.coalesce(F.col(f"_{m}") >= F.col(f"low_{m}"), F.lit(True))
+            inside = inside & F.coalesce(held >= F.col(f"low_{m}"), F.lit(True))
     return told.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & inside).alias("kept"))

@@ -40,6 +40,15 @@ def test_joined_way_gives_the_same(spark, monkeypatch):
     assert urlfilter.judge(pages(spark, *urls), URL_RULES).orderBy("page_id").collect() == want
 
 
+def test_rules_of_equal_length(spark, monkeypatch):
+    rules = [("block", "a.b", ""), ("allow", "b", "/x"), ("block", "c", "/yy"), ("allow", "b.c", "/y")]
+    urls = ["http://a.b/x", "http://q.b/x", "http://b.c/yy", "http://d.c/yy"]
+    want = [("a.b", "block"), ("b/x", "allow"), ("b.c/y", "allow"), ("c/yy", "block")]
+    for most in (urlfilter.MAX_LISTED, 1):
+        monkeypatch.setattr(urlfilter, "MAX_LISTED", most)
+        assert [(r["rule"], r["verdict"]) for r in urlfilter.judge(pages(spark, *urls), rules).orderBy("page_id").collect()] == want
+
+
 def test_cascade_is_exact_over_its_universe(spark):
     universe = spark.range(3000).select(F.concat(F.lit("host-"), F.col("id").cast("string")).alias("key"))
     listed = universe.filter(F.xxhash64("key") % 5 == 0)
@@ -86,6 +95,23 @@ def test_thresholds_adapt(spark):
     assert quality.judge(docs(spark, (1, "x", "en", "a")).limit(0)).count() == 0
 
 
+def test_metrics_have_thresholds_of_their_own(spark):
+    """Over the 80 groups of the 0.1 tables, no bound is a constant, and three metrics' take more than ten values."""
+    measured = quality.measure(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    limits = quality.bounds(quality.sketches(measured)).collect()
+    distinct = {c: len({r[c] for r in limits}) for c in limits[0].asDict() if c not in ("lang", "source")}
+    assert len(limits) == 80 and sum(n > 10 for n in distinct.values()) >= 3 and min(distinct.values()) > 4, distinct
+
+
+def test_bounds_by_hand(spark):
+    sketch = [("en", "a", "dup_lines", b, n) for b, n in ((0, 980), (100, 11), (200, 9))]  # the 0.99 quantile
+    sketch += [("en", "a", "word_length", b, n) for b, n in ((4000, 300), (5000, 400), (5200, 290), (9000, 10))]  # fences: 4000 - 3 * 1200, 5200 + 3 * 1200
+    sketch += [("en", "b", "dup_lines", 300, 49)]  # too few: the language's sketch, 1049 values
+    got = {r["source"]: r for r in quality.bounds(spark.createDataFrame(sketch, "lang string, source string, metric string, bucket long, n long")).collect()}
+    assert (got["a"]["high_dup_lines"], got["a"]["low_word_length"], got["a"]["high_word_length"]) == (100, 400, 8800)
+    assert got["b"]["high_dup_lines"] == 300 and got["b"]["high_word_length"] is None
+
+
 def test_sketches_merge(spark):
     values = spark.range(10_000).select((F.col("id") * F.col("id") % 7919).alias("v"))
     rank = lambda x: values.filter(F.col("v") <= x).count() / 10_000
