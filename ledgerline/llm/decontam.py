@@ -11,8 +11,9 @@ candidates, and their shared shingles are then counted exactly, word by word. Ba
 would lose items: a 30-word item in a 5,000-word document has a Jaccard similarity of 0.005.
 With bottom-k sketches looked up in all of a document's shingles, nothing can be lost.
 
-The items are a query set against all documents: their sketches go to the executors in blocks of at most about `BLOCK` bytes of
-item text, one pass over the documents per block, so no broadcast grows with the benchmark. Documents aren't shuffled.
+The items are a query set against all documents, and equal texts are one item for the search. They go to the executors as indexes
+of at most about `BLOCK` bytes of item text, each some 12 bytes for a byte of text once it is serialized and about twice that in memory;
+one pass over the documents searches `TOGETHER` of them, so that what a task holds doesn't grow with the benchmark. Documents aren't shuffled.
 
 Defined results: null or empty item or document text: nothing shared. Null ids are results like others. Repeated items or documents: a
 row for each pair. Empty tables: empty result. Other columns are ignored by `matches` and kept by `clean`.
@@ -22,21 +23,24 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from .common import folded_words, input_bytes, prepare
+from .common import folded_words, input_bytes, prepare, stash, unused
 
 SHINGLE = 5
 THRESHOLD = 0.8
 EXTRA = 4
-BLOCK = 8 << 20
+BLOCK = 4 << 20
+TOGETHER = 4
 
-MATCH = StructType([StructField("item_id", LongType()), StructField("n_shingles", LongType()), StructField("n_shared", LongType())])
+MATCH = StructType([StructField("item", StringType()), StructField("n_shingles", LongType()), StructField("n_shared", LongType())])
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -49,7 +53,7 @@ def needed(m: int, threshold: float = THRESHOLD) -> int:
 class Index:
     """Sketches of one block of items, and all their shingles for the verification."""
 
-    def __init__(self, items: list[tuple[int | None, bytes | None]], threshold: float = THRESHOLD):
+    def __init__(self, items: list[tuple[str, bytes]], threshold: float = THRESHOLD):
         self.words: dict[bytes, int] = {}
         self.items = items
         self.threshold = threshold
@@ -137,7 +141,7 @@ class Index:
             exact = self._count(whole, self._present(whole, rows, hashes))
             for n in likely:
                 if exact.get(n, 0) >= needed(self.sizes[n], self.threshold):
-                    out.append({"item_id": self.items[n][0], "n_shingles": self.sizes[n], "n_shared": exact[n]})
+                    out.append({"item": self.items[n][0], "n_shingles": self.sizes[n], "n_shared": exact[n]})
         return out
 
     @staticmethod
@@ -151,47 +155,68 @@ class Index:
         return dict(zip(n.tolist(), c.tolist()))
 
 
-def indexes(benchmark: DataFrame, threshold: float = THRESHOLD):
-    """An Index for each block of items (item_id, text), one at a time."""
-    items = benchmark.select("item_id", "text")
-    _, size = input_bytes(items, "text")
-    blocks = max(1, -(-size // BLOCK))
-    for b in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()  # about BLOCK bytes
-        if rows:
-            yield Index([(r["item_id"], None if r["text"] is None else r["text"].encode("utf-8", "replace")) for r in sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"] or 0))], threshold)
+def _texts(benchmark: DataFrame) -> DataFrame:
+    """item (a digest of the text), text: each distinct text once."""
+    return benchmark.select(_digest().alias("item"), "text").filter("text <> ''").dropDuplicates(["item"])
 
 
-def searcher(spark, index: Index):
-    """A function of a text column: an array of MATCH."""
-    sent = spark.sparkContext.broadcast(index)
+def _digest():
+    return F.sha1(F.col("text").cast("binary"))
+
+
+def indexes(benchmark: DataFrame, threshold: float = THRESHOLD) -> Iterator[Index]:
+    """Indexes of all items (item_id, text), one at a time, from one pass over them; the driver holds about BLOCK bytes of text."""
+    texts = _texts(benchmark)
+    n, size = input_bytes(texts, "text")
+    held, taken = [], 0
+    for r in texts.repartition(max(1, min(n, -(-size // BLOCK))), "item").sortWithinPartitions("item").toLocalIterator() if n else ():
+        held.append((r["item"], r["text"].encode("utf-8", "replace")))
+        taken += len(held[-1][1])
+        if taken > BLOCK:
+            yield Index(held, threshold)
+            held, taken = [], 0
+    if held:
+        yield Index(held, threshold)
+
+
+def searcher(spark, found: Iterable[Index]):
+    """A function of a text column: an array of MATCH, from some indexes."""
+    sent = [spark.sparkContext.broadcast(index) for index in found]
 
     @F.arrow_udf(ArrayType(MATCH))
     def search(text: pa.Array) -> pa.Array:
-        kind = pa.list_(pa.struct([("item_id", pa.int64()), ("n_shingles", pa.int64()), ("n_shared", pa.int64())]))
-        return pa.array([sent.value.search(t.as_py()) for t in text.cast(pa.binary())], kind)
+        kind = pa.list_(pa.struct([("item", pa.string()), ("n_shingles", pa.int64()), ("n_shared", pa.int64())]))
+        return pa.array([[m for index in sent for m in index.value.search(t.as_py())] for t in text.cast(pa.binary())], kind)
 
     return search.asNondeterministic()
 
 
+def searchers(spark, benchmark: DataFrame, threshold: float) -> Iterator:
+    """A searcher for each TOGETHER indexes."""
+    every = indexes(benchmark, threshold)
+    while some := list(islice(every, TOGETHER)):
+        yield searcher(spark, some)
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """A row for each document and item in it: doc_id, item_id, n_shingles, n_shared, containment."""
     spark = docs.sparkSession
     prepare(spark)
-    out = None
-    for index in indexes(benchmark, threshold):
-        found = docs.select("doc_id", searcher(spark, index)(F.col("text")).alias("__m")).filter(F.size("__m") > 0).select("doc_id", F.inline("__m"))
-        out = found if out is None else out.union(found)
-    if out is None:
-        out = docs.select("doc_id", *(F.lit(None).cast("long").alias(f.name) for f in MATCH)).limit(0)
-    return out.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+    out = docs.select("doc_id", *(F.lit(None).cast(f.dataType).alias(f.name) for f in MATCH)).limit(0)
+    for k, search in enumerate(searchers(spark, benchmark, threshold)):
+        found = docs.select("doc_id", search(F.col("text")).alias("m")).filter(F.size("m") > 0).select("doc_id", F.inline("m"))
+        out = out.union(found) if k else found
+    told = out.join(benchmark.select("item_id", _digest().alias("item")), "item")
+    return told.select("doc_id", "item_id", "n_shingles", "n_shared", (F.col("n_shared") / F.col("n_shingles")).alias("containment"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that have no item in them, with all their columns."""
+    """The documents that have no item in them, with all their columns. Each pass but the last writes what it keeps."""
     spark = docs.sparkSession
     prepare(spark)
+    (m,) = unused(docs, "__m")
     out = docs
-    for index in indexes(benchmark, threshold):
-        out = out.withColumn("__m", searcher(spark, index)(F.col("text"))).filter(F.size("__m") == 0).select(*docs.columns)
+    for k, search in enumerate(searchers(spark, benchmark, threshold)):
+        left = stash(out, "decontam-clean") if k else out
+        out = left.withColumn(m, search(F.col("text"))).filter(F.size(m) == 0).select(*docs.columns)
     return out
