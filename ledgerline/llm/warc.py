@@ -26,11 +26,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh_path, prepare, stash
+from .urlfilter import Level
 
 #: An archive is closed beyond this size; a range ends beyond RANGE bytes or at a gap over GAP.
 MAX_FILE = 1 << 30
 RANGE = 8 << 20
 GAP = 64 << 10
+#: Bytes of archives that a reading task has at most, and at least while there are idle cores.
+MOST_READ = 128 << 20
+LEAST_READ = 8 << 20
+#: Rows of 60 bytes that are broadcast at most, and digests that a Bloom filter is sized for at most.
+BROADCAST_ROWS = 500_000
+FILTERED = 2_000_000
 
 INDEX = "page_id long, url string, payload_digest string, payload_bytes long, record_type string, refers_to long, file string, offset long, length long"
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
@@ -115,15 +122,25 @@ def _writer(folder: str, date: str, level: int):
     return run
 
 
+def _with_first(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """rows with `_first` of their digest. Payloads travel only if their digest may be shared and the shared ones are too many to broadcast."""
+    n = shared.count()
+    if n <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(shared), "_digest", "left")
+    maybe = Level.of(shared.select(F.col("_digest").alias("key")), 0, min(n, FILTERED), 0.01).has(F.col("_digest"))
+    own = rows.filter(~maybe).withColumn("_first", F.lit(None).cast("long"))
+    return rows.filter(maybe).join(shared, "_digest", "left").unionByName(own)
+
+
 def write(pages: DataFrame, min_bytes: int = 0, date: str = "1970-01-01T00:00:00Z", level: int = 6) -> tuple[str, DataFrame]:
     """pages: page_id, url, html. The archives' folder and their index."""
     spark = pages.sparkSession
     prepare(spark)
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("_digest", F.sha1(F.col("html").cast("binary")))
     large = rows.filter(F.octet_length("html") >= min_bytes) if min_bytes else rows
-    # One row per payload that several records have. Its stashed size is known, so that Spark broadcasts it only if it's small.
+    # One row per payload that several records have.
     shared = stash(large.groupBy("_digest").agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"), "shared-payloads")
-    told = rows.join(shared, "_digest", "left")
+    told = _with_first(rows, shared)
     refers_to = F.when(F.coalesce(F.col("page_id") != F.col("_first"), F.col("_first").isNotNull()), F.col("_first"))
     folder = fresh_path(spark, "warc")
     index = told.select("page_id", "url", "html", refers_to.alias("refers_to")).mapInArrow(_writer(folder, date, level), INDEX)
@@ -165,7 +182,10 @@ def _reader(folder: str, gap: int, most: int, with_payload: bool):
 
 
 def read(spark, folder: str, selected: DataFrame, gap: int = GAP, most: int = RANGE, with_payload: bool = False) -> DataFrame:
-    """The records of the selected index rows (file, offset, length), by coalesced ranges in file order."""
+    """The records of the selected index rows (file, offset, length), by coalesced ranges in file order. Tasks are dealt by archive bytes."""
     prepare(spark)
-    placed = selected.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    chosen = selected.select("file", "offset", "length")
+    size = chosen.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(-(-size // MOST_READ), min(spark.sparkContext.defaultParallelism, -(-size // LEAST_READ)), 1)
+    placed = chosen.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return placed.mapInArrow(_reader(folder, gap, most, with_payload), RECORD)
