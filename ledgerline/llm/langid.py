@@ -6,19 +6,19 @@ family, the best of which wins. Within the family every pair of languages has a
 their documents; the language with most votes wins, then the one with the larger sum of margins. Languages without an
 entry in `FAMILIES` are families of their own.
 
-The fit sees at most `PER_LANGUAGE` documents of each language, those with the smallest hash of their id, and never
-those that are held out; all documents are then classified, whole. Machines minimize the L2-regularized squared hinge
+The fit sees at most `PER_LANGUAGE` documents of each language and `MOST_ROWS` of all, those with the smallest hash of their id, and
+never those that are held out; all documents are then classified, whole. Machines minimize the L2-regularized squared hinge
 loss by full gradient steps, in one fixed order, so that a fit can be repeated.
 
-Defined results: null text or one without a letter: `und` with score 0. No labelled document at all: `und` for every text.
-Null lang: not learned from. A null doc_id is not held out. Repeated rows: each its own. Empty table: empty result.
+Defined results: null text or one without a letter (Unicode category L; numerals such as `½` or `Ⅷ` are none): `und` with score 0. No
+labelled document at all: `und` for every text. Null lang: not learned from. Rows of one language that share a doc_id, or have none, are one to
+learn from, that with the smallest text. A null doc_id is not held out. Repeated rows: each its own. Empty table: empty result.
 Other columns are ignored by `predict` and kept by `keep_known`.
 """
 
 from __future__ import annotations
 
 import itertools
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -28,10 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import held_out, prepare
+from .common import held_out, prepare, unused
 
 DIMENSIONS = 4096
 PER_LANGUAGE = 600
+#: Feature vectors of 8 KB that the driver gets at most, about; with more than 25 languages each has fewer.
+MOST_ROWS = 15_000
 STEPS = 150
 
 #: Families of common languages.
@@ -41,7 +43,6 @@ FAMILIES = {
     "pl": "slavic", "cs": "slavic", "ru": "slavic", "uk": "slavic", "bg": "slavic",
 }
 
-_LETTER = re.compile(r"[^\W\d_]")
 #: Lower case for A-Z; a space for what is neither an ASCII letter nor part of another character.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -106,7 +107,7 @@ class Model:
         return Model(names, languages, np.stack([w for w, _ in machines], axis=1), np.array([b for _, b in machines]), pairs)
 
     def predict(self, text: bytes | None) -> tuple[str, float]:
-        if not text or not self.families or not _LETTER.search(text.decode("utf-8", "replace")):
+        if not text or not self.families or not any(map(str.isalpha, text.decode("utf-8", "replace"))):
             return "und", 0.0
         x = features(text)
         margins = x @ self.family_w + self.family_b
@@ -135,22 +136,21 @@ def _featurize(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, families: dict[str, str] | None = None, per_language: int = PER_LANGUAGE) -> Model:
-    """docs: doc_id, text, lang. Learns from documents that aren't held out and have a text and a lang.
-
-    The driver gets about 1.25 * per_language feature vectors of 8 KB for each language.
-    """
+    """docs: doc_id, text, lang. Learns from documents that aren't held out and have a text and a lang."""
     prepare(docs.sparkSession)
     usable = docs.filter(F.col("lang").isNotNull() & (F.length("text") > 0) & ~held_out(F.col("doc_id")))
     place = F.xxhash64(F.lit("langid"), F.col("doc_id")).bitwiseAND(F.lit((1 << 63) - 1))
     sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per language
     if not sizes:
         return Model([], {}, np.zeros((DIMENSIONS, 0)), np.zeros(0), {})
+    per_language = max(1, min(per_language, MOST_ROWS // len(sizes)))
     # A hash below a language's share of 2^63 chooses about a quarter more than per_language; the surplus goes on the driver.
     within = F.lit(False)
     for lang, n in sizes.items():
         share = min(1.0, (1.25 * per_language + 50) / n)
         within = within | ((F.col("lang") == lang) & (place <= F.lit(int(share * ((1 << 63) - 1024)))))
-    rows = usable.filter(within).select("lang", place.alias("h"), "text").mapInArrow(_featurize, "lang string, h long, x binary").collect()
+    chosen = usable.filter(within).groupBy("lang", place.alias("h")).agg(F.min("text").alias("text"))
+    rows = chosen.mapInArrow(_featurize, "lang string, h long, x binary").collect()
     rows.sort(key=lambda r: (r["lang"], r["h"], r["x"]))
     rows = [r for _, g in itertools.groupby(rows, key=lambda r: r["lang"]) for r in itertools.islice(g, per_language)]
     x = np.stack([np.frombuffer(r["x"], np.float16) for r in rows]).astype(np.float32)
@@ -179,6 +179,7 @@ def predict(docs: DataFrame, model: Model | None = None) -> DataFrame:
 def keep_known(docs: DataFrame, model: Model | None = None, least: float = 0.0) -> DataFrame:
     """The documents whose language is known, with a score of at least `least`; all their columns."""
     model = model or fit(docs)
-    told = docs.withColumn("__p", predictor(docs.sparkSession, model)(F.col("text")))
-    keep: Column = (F.col("__p.lang_pred") != "und") & (F.col("__p.score") >= least)
+    (p,) = unused(docs, "__p")
+    told = docs.withColumn(p, predictor(docs.sparkSession, model)(F.col("text")))
+    keep: Column = (F.col(f"{p}.lang_pred") != "und") & (F.col(f"{p}.score") >= least)
     return told.filter(keep).select(*docs.columns)
