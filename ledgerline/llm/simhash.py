@@ -9,7 +9,8 @@ exactly one codeword, whose index has 12 bits. A fingerprint is filed under its
 those of all vectors within one bit, which are 1 or 6 indices, so that two halves within one bit always share a key. Key: segment,
 half, the segment's bits, the index. Rows of a key meet in one sorted stream, where distances are verified and only a
 spanning forest of the verified links is given out, never all pairs. A key with more than `LARGE` fingerprints is not
-compared: its rows are dealt again under finer keys (the same pigeonhole over another order of the bits), until none is.
+compared: its rows are dealt again under finer keys (the same pigeonhole over another order of the bits), until none is. A level of these
+makes four rows of each row of such a key, and cuts a key of unrelated fingerprints to 1 / 65536 of them.
 
 Equal fingerprints are one row before the search, so that copies cost nothing however many there are.
 
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import Stash, prepare, stash
+from .common import prepare, stash, tidy, unused
 from .components import components
 
 DISTANCE = 3
@@ -241,12 +242,13 @@ def links(distinct: DataFrame) -> DataFrame:
 
 def groups(marked: DataFrame) -> DataFrame:
     """marked: doc_id, fp. Each distinct fp with its component: fp, root (one fp of it, which tells components apart) and component_id, its smallest doc_id."""
-    each = stash(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    roots = components(links(each.select("fp")))
-    rooted = each.join(roots, each["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = stash(rooted, "simhash-roots")
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return stash(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-groups")
+    with tidy() as keep:
+        each = stash(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+        roots = components(links(each.select("fp")))
+        rooted = each.join(roots, each["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+        rooted = stash(rooted, "simhash-roots")
+        least = stash(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-least")  # a plain scan, so that a large group's join can be split
+        return keep(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-groups").df
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -259,16 +261,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents of the smallest doc_id of each group, one of each, with all their columns."""
     prepare(docs.sparkSession)
-    mark = fingerprints.asNondeterministic()("text")
-    marked = Stash(docs.select("doc_id", fingerprints("text").alias("fp")), "simhash-fingerprints")
-    group = groups(marked.df)
-    # Of each group the rows with its smallest id: one (id, fingerprint) of them, and how many rows bear it. Groups may share an id or have none.
-    rows = marked.df.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("__n")).join(group, "fp")
-    first = rows.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id").agg(F.min(F.struct("fp", "__n")).alias("__x"))
-    first = stash(first.select(F.col("doc_id").alias("__id"), F.col("__x.fp").alias("__fp"), F.col("__x.__n").alias("__n")), "simhash-first")
-    told = docs.withColumn("__mark", mark)
-    kept = told.join(first, (F.col("__mark") == F.col("__fp")) & F.col("doc_id").eqNullSafe(F.col("__id")))
-    one = kept.filter("__n = 1").select(*docs.columns)
-    if first.filter("__n > 1").isEmpty():
+    mark = lambda: F.xxhash64("text")  # noqa: E731  # tells the rows of a doc_id apart, so that fingerprints are made once
+    marked = stash(docs.select("doc_id", mark().alias("h"), fingerprints("text").alias("fp")), "simhash-fingerprints")
+    group = groups(marked)
+    # Of each group the rows with its smallest id: one (id, text) of them, and how many rows bear it. Groups may share an id or have none.
+    rows = marked.groupBy("doc_id", "h", "fp").agg(F.count(F.lit(1)).alias("n")).join(group, "fp")
+    first = rows.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id").agg(F.min(F.struct("fp", "h", "n")).alias("x"))
+    i, h, n = unused(docs, "__id", "__h", "__n")
+    first = stash(first.select(F.col("doc_id").alias(i), F.col("x.h").alias(h), F.col("x.n").alias(n)), "simhash-first")
+    kept = docs.join(first, (mark() == F.col(h)) & F.col("doc_id").eqNullSafe(F.col(i)))
+    one = kept.filter(F.col(n) == 1).select(*docs.columns)
+    if first.filter(F.col(n) > 1).isEmpty():
         return one
-    return one.union(kept.filter("__n > 1").dropDuplicates(["__id", "__fp"]).select(*docs.columns))
+    return one.union(kept.filter(F.col(n) > 1).dropDuplicates([i, h]).select(*docs.columns))
