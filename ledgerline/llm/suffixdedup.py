@@ -6,16 +6,21 @@ A byte is removed if a string of `LENGTH` (50) bytes that covers it also starts
    strings share anchors, so that a document has about one per 14 bytes, and equal strings have equal anchors. Anchor
    hashes are dealt to buckets, where those of more than one document are found.
 2. Refinement. Only runs of strings whose anchor is shared move on, as short contexts, to their anchor's bucket. There the
-   suffixes of the contexts are sorted as in bucket-pointer refinement: initial buckets are 4-grams; each pass sorts by
-   the bucket pointers of a suffix and of the suffix at the depth reached so far, and uses the pointers it has just updated for the
-   next one, so depth doubles: 4, 8, 16, 32, 50. Suffixes of one final bucket share their first 50 bytes, exactly. In each, all
-   but those of the smallest doc_id are removed.
+   suffixes of the contexts are sorted by bucket-pointer refinement: initial buckets are 4-grams; a bucket of several suffixes is
+   sorted by the bucket pointers that these have at its depth, and is split where they differ, which adds the pointers' own depth to it.
+   Pointers are updated part by part of a pass, so that later parts use what earlier ones have just refined; a bucket of one
+   suffix, or one refined to 50 bytes, is left alone. Neighbours in the final order are compared byte by byte: runs of equal strings of
+   50 bytes are exact. In each run, all but those of the smallest doc_id are removed.
 3. Removed runs return to their documents.
 
 Anchors and contexts travel as packed binary rows, one per task chunk and bucket. A chunk first settles equal anchors and equal
 contexts of its own: only the smallest document of each goes on, so a passage that a third of all documents
-share costs one entry per chunk. An anchor with more than `GROUP_BYTES` of different contexts isn't sorted by one task: its
-strings go, one by one, through an aggregate and a join on the string itself.
+share costs one entry per chunk. Where anchors meet, a task holds an entry for each different anchor, not for each chunk.
+
+Hot anchors. Bytes of contexts are summed for each bucket before anything is dealt. A bucket with more than `HEAVY` goes to no task: its
+contexts are cut to strings where they lie, which meet in an aggregate with partial minima and a join of stored tables, both of which split a
+hot string. So no task holds more than `HEAVY` bytes of contexts, however many documents have a phrase. Within a bucket, an anchor
+of more than `GROUP_BYTES` goes the same way.
 
 Defined results: null or empty text: nothing to remove (`dedup` keeps a null). A null doc_id counts as larger than any. Rows with the same doc_id
 are one document's and remove nothing of each other; each row is kept. Empty table: empty result. Other columns are
@@ -26,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +39,9 @@ import pyarrow.compute
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import Stash, input_bytes, prepare, stash
+from .common import input_bytes, prepare, stash, tidy, unused
 
 LENGTH = 50
 Q = 24
@@ -46,7 +53,13 @@ BUCKET = 8 << 20
 HOMES = 4
 #: Bytes of contexts that are sorted at once, and that one anchor's group may have.
 SORT_BYTES = 1 << 20
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 960 << 10
+#: Bytes of contexts that a bucket may bring to one task.
+HEAVY = 48 << 20
+#: Anchors that meet before a task keeps one entry of each.
+MEET = 1 << 20
+#: Parts of a refinement pass; each uses the pointers that those before it have updated.
+PARTS = 4
 
 NO_ID = (1 << 63) - 1
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -127,27 +140,68 @@ def _runs(texts: list[bytes], group: list[int]):
     return np.array(group, np.int64)[owner], low[new] >> np.uint64(6), first - base, last - base
 
 
-def _ranks(key: np.ndarray) -> np.ndarray:
-    """Dense ranks of numbers below 2^42, at most 2^21 of them: sorted together with their places."""
-    packed = (key << np.uint64(21)) | np.arange(len(key), dtype=np.uint64)
-    packed.sort()
-    place = (packed & np.uint64((1 << 21) - 1)).astype(np.int64)
-    packed >>= np.uint64(21)
-    out = np.empty(len(key), np.uint64)
-    out[place] = np.cumsum(np.concatenate(([False], packed[1:] != packed[:-1]))).astype(np.uint64)
-    return out
+_PLACE = np.uint64((1 << 21) - 1)
+
+
+def _new(x: np.ndarray) -> np.ndarray:
+    """Where a sorted array has another value than before."""
+    return np.concatenate(([True], x[1:] != x[:-1]))
+
+
+def _firsts(new: np.ndarray) -> np.ndarray:
+    """For each place of a sorted array the place where its run begins."""
+    return np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
 
 
 def refine(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Bucket numbers of the suffixes at `starts`, refined to 50 bytes: equal numbers, equal strings.
+    """Class numbers of the suffixes at `starts`, none if there is none: equal numbers, equal 50 bytes.
 
-    text has at most 2^21 bytes, 50 from each start on. Bucket pointers of all positions are kept, since refinement reads
-    those of later offsets.
+    text has at most 2^21 bytes, 50 from each start on; behind it, zeros are thought. A bucket's pointer is its first place in
+    suffix order, so that pointers compare as the strings do that they stand for.
     """
-    bucket = _ranks(grams(text, 4))
-    for depth in (4, 8, 16):
-        bucket = _ranks((bucket[:-depth] << np.uint64(21)) | bucket[depth:])
-    return _ranks((bucket[starts] << np.uint64(21)) | bucket[starts + LENGTH - 32]).astype(np.int64)
+    n = len(text)
+    if not len(starts):
+        return np.empty(0, np.int64)
+    padded = np.concatenate((text, np.zeros(LENGTH + 8, text.dtype)))
+    packed = (grams(padded, 4)[:n] << np.uint64(21)) | np.arange(n, dtype=np.uint64)
+    packed.sort()
+    alive = (packed & _PLACE).astype(np.int64)
+    new = _new(packed >> np.uint64(21))
+    pointer = np.zeros(n + LENGTH + 32, np.int64)  # 0 behind the text; buckets count from 1
+    pointer[alive] = _firsts(new) + 1
+    depth = np.full(n + 1, 4, np.int64)
+    depth[0] = LENGTH  # what lies behind the text is all alike
+    alive = alive[~new | ~np.concatenate((new[1:], [True]))]
+    while len(alive):
+        cuts = np.flatnonzero(_new(pointer[alive]))
+        cuts = np.unique(cuts[np.linspace(0, len(cuts), PARTS, endpoint=False).astype(np.int64)])
+        left = []
+        for part in np.split(alive, cuts[1:]):
+            own = pointer[part]
+            offset = depth[own]
+            other = pointer[part + offset]
+            packed = (own.astype(np.uint64) << np.uint64(43)) | (other.astype(np.uint64) << np.uint64(21)) | np.arange(len(part), dtype=np.uint64)
+            packed.sort()
+            order = (packed & _PLACE).astype(np.int64)
+            new = _new(packed >> np.uint64(21))
+            first, within = _firsts(new), _firsts(_new(packed >> np.uint64(43)))
+            part, own = part[order], own[order] + (first - within)
+            reached = (offset + depth[other])[order]
+            pointer[part] = own
+            depth[own] = reached
+            left.append(part[(~new | ~np.concatenate((new[1:], [True]))) & (reached < LENGTH)])
+        alive = np.concatenate(left)
+    order = np.argsort(pointer[starts], kind="stable")
+    at = starts[order]
+    eight = grams(padded, 8)
+    new = np.zeros(len(at), bool)
+    new[:1] = True
+    for k in (*range(0, LENGTH - 8, 8), LENGTH - 8):
+        x = eight[at + k]
+        new[1:] |= x[1:] != x[:-1]
+    out = np.empty(len(starts), np.int64)
+    out[order] = np.cumsum(new) - 1
+    return out
 
 
 def least_of(classes: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -274,18 +328,17 @@ def _anchors(buckets: int, homes: int):
     return run
 
 
-def _by_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
-    """Rows (bucket, blob) sorted by bucket: each bucket's blobs."""
-    now, held = None, []
+def _blobs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
+    """Rows (bucket, blob)."""
     for batch in batches:
         for b, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-            if b != now and held:
-                yield now, held
-                held = []
-            now = b
-            held.append(blob.as_py())
-    if held:
-        yield now, held
+            yield b, blob.as_py()
+
+
+def _by_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
+    """Rows (bucket, blob) sorted by bucket: each bucket's blobs."""
+    for bucket, rows in groupby(_blobs(batches), key=lambda r: r[0]):
+        yield bucket, [blob for _, blob in rows]
 
 
 def _shared(buckets: int, homes: int):
@@ -300,29 +353,43 @@ def _shared(buckets: int, homes: int):
                 if (own := batch.filter(ask)).num_rows:
                     yield own.select([3, 1])
 
+        def meet(held: tuple, fresh: list[tuple]) -> tuple[tuple, pa.RecordBatch]:
+            """One entry of each anchor (anchor, row, whether its row is told), and what rows are told now."""
+            g, row, told = (np.concatenate(x) for x in zip(held, *fresh))
+            order = np.argsort(g, kind="stable")
+            g, row, told = g[order], row[order], told[order]
+            new = _new(g) if len(g) else np.empty(0, bool)
+            many = ~new | np.r_[~new[1:], False]
+            tell = many & ~told
+            out = _rows(_PACKED, [(TELL, b, _tell(row[tell][at], g[tell][at])) for b, at in _split(_doc_bucket(row[tell], homes))])
+            return (g[new], row[new], many[new] | told[new]), out
+
         passed: list[pa.RecordBatch] = []
-        for bucket, blobs in _by_bucket(asked()):
+        none = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool))
+        now, held, fresh, count = None, none, [], 0
+        for bucket, blob in _blobs(asked()):
             yield from passed
             passed.clear()
-            g, row = [], []
-            for blob in blobs:
-                low, own, local = _unpack(blob, np.uint8, np.int64, np.uint8)
-                g.append(_unplaned(low, 5) * np.uint64(buckets) + np.uint64(bucket))
-                row.append(own[_unplaned(local, 3).astype(np.int64)])
-            g, row = np.concatenate(g), np.concatenate(row)
-            order = np.argsort(g)
-            g, row = g[order], row[order]
-            same = g[1:] == g[:-1]
-            many = np.r_[same, False] | np.r_[False, same]
-            g, row = g[many], row[many]
-            yield _rows(_PACKED, [(TELL, b, _tell(row[at], g[at])) for b, at in _split(_doc_bucket(row, homes))])
+            if bucket != now or count > MEET:
+                held, out = meet(held, fresh)
+                yield out
+                fresh, count = [], 0
+                if bucket != now:
+                    now, held = bucket, none
+            low, own, local = _unpack(blob, np.uint8, np.int64, np.uint8)
+            g = _unplaned(low, 5) * np.uint64(buckets) + np.uint64(bucket)
+            fresh.append((g, own[_unplaned(local, 3).astype(np.int64)], np.zeros(len(g), bool)))
+            count += len(g)
+        yield meet(held, fresh)[1]
         yield from passed
 
     return run
 
 
-SPAN = "kind int, bucket int, blob binary, doc_id long, row long, start long, string binary"
-_SPAN = [*_PACKED, ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("string", pa.binary())]
+SPAN = "kind int, bucket int, blob binary, size long"
+_SPAN = [*_PACKED, ("size", pa.int64())]  # size: bytes of contexts
+STRING = "kind int, bucket int, blob binary, doc_id long, row long, start long, string binary"
+_STRING = [*_PACKED, ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("string", pa.binary())]
 
 
 def _merge(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -340,7 +407,7 @@ def _merge(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
 
 def _told(row: np.ndarray, start: np.ndarray, end: np.ndarray, homes: int) -> list[tuple]:
     row, start, end = _merge(row, start, end)
-    return [(TELL, b, _pack(row[at], start[at], end[at]), None, None, None, None) for b, at in _split(_doc_bucket(row, homes))]
+    return [(TELL, b, _pack(row[at], start[at], end[at])) for b, at in _split(_doc_bucket(row, homes))]
 
 
 def _contexts(buckets: int, homes: int):
@@ -361,7 +428,7 @@ def _contexts(buckets: int, homes: int):
         out = []
         if gone:
             d, s, e = (np.array(x, np.int64) for x in zip(*gone))
-            out += _told(np.array(keys, np.int64)[d], s, e, homes)
+            out += [(*x, None) for x in _told(np.array(keys, np.int64)[d], s, e, homes)]
         for b, rows in sent.items():
             rows.sort(key=lambda r: r[0])  # contexts of an anchor are alike and compress together
             g, d, s, c = zip(*rows)
@@ -372,7 +439,7 @@ def _contexts(buckets: int, homes: int):
                 _planes(low, 5), table, _planes(local.ravel(), 3), np.array(s, np.uint32), np.fromiter(map(len, c), np.uint8, len(c)),
                 np.frombuffer(zstandard.compress(b"".join(c), 3), np.uint8),
             )
-            out.append((ASK, b, blob, None, None, None, None))
+            out.append((ASK, b, blob, sum(map(len, c))))
         yield _rows(_SPAN, out)
 
     def take(ids: list, keys: list, texts: list[bytes], shared: np.ndarray, found: dict, at: int) -> int:
@@ -431,15 +498,36 @@ def _told_anchors(blobs: list[bytes]) -> np.ndarray:
     return out
 
 
+def _contexts_of(blob: bytes) -> tuple:
+    """Low part of the anchor, doc_id, row, start and size of a blob's contexts, and their text."""
+    low, docs, local, start, size, packed = _unpack(blob, np.uint8, np.int64, np.uint8, np.uint32, np.uint8, np.uint8)
+    doc_id, row = docs.reshape(-1, 2)[_unplaned(local, 3).astype(np.int64)].T
+    text = np.frombuffer(zstandard.decompress(packed.tobytes()), np.uint8)
+    return _unplaned(low, 5), doc_id, row, start.astype(np.int64), size.astype(np.int64), text
+
+
+def _strings_of(doc_id, row, start, offset, size, text: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Each string of some contexts as a row."""
+    rows = []
+    for d, k, s, o, n in zip(doc_id.tolist(), row.tolist(), start.tolist(), offset.tolist(), size.tolist()):
+        data = text[o : o + n].tobytes()
+        rows += [(ASK, None, None, d, k, s + p, data[p : p + LENGTH]) for p in range(n - LENGTH + 1)]
+        if len(rows) > 20_000:
+            yield _rows(_STRING, rows)
+            rows = []
+    yield _rows(_STRING, rows)
+
+
+def _strings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, blob) rows: their contexts' strings."""
+    for _, blob in _blobs(batches):
+        _, doc_id, row, start, size, text = _contexts_of(blob)
+        yield from _strings_of(doc_id, row, start, np.cumsum(size) - size, size, text)
+
+
 def _sorted_contexts(homes: int):
     """(bucket, blob) rows: refine the suffixes of each anchor's contexts; the strings to remove, or those of a large anchor."""
 
-    def contexts_of(blob: bytes) -> tuple:
-        low, docs, local, start, size, packed = _unpack(blob, np.uint8, np.int64, np.uint8, np.uint32, np.uint8, np.uint8)
-        doc_id, row = docs.reshape(-1, 2)[_unplaned(local, 3).astype(np.int64)].T
-        text = np.frombuffer(zstandard.decompress(packed.tobytes()), np.uint8)
-        return _unplaned(low, 5), doc_id, row, start.astype(np.int64), size.astype(np.int64), text
-
     def settle(table, at: np.ndarray) -> tuple:
         """Runs of whole anchors' contexts: (row, start, end) of the strings that a smaller document has."""
         g, doc_id, row, start, offset, size, text = table
@@ -469,7 +557,7 @@ def _sorted_contexts(homes: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, blobs in _by_bucket(batches):
-            g, doc_id, row, start, size, text = (np.concatenate(x) for x in zip(*map(contexts_of, blobs)))
+            g, doc_id, row, start, size, text = (np.concatenate(x) for x in zip(*map(_contexts_of, blobs)))
             blobs.clear()
             offset = np.cumsum(size) - size
             order = np.lexsort((doc_id, g))
@@ -490,22 +578,15 @@ def _sorted_contexts(homes: int):
                 done.append(settle(table, np.concatenate(batch)))
             if done:
                 r, s, e = (np.concatenate(x) for x in zip(*done))
-                yield _rows(_SPAN, _told(r, s, e, homes))
+                yield _rows(_STRING, [(*x, None, None, None, None) for x in _told(r, s, e, homes)])
             for a, b in zip(edges[:-1][large].tolist(), edges[1:][large].tolist()):
-                rows = []
-                for x in range(a, b):
-                    data = text[offset[x] : offset[x] + size[x]].tobytes()
-                    rows += [(ASK, None, None, int(doc_id[x]), int(row[x]), int(start[x]) + p, data[p : p + LENGTH]) for p in range(len(data) - LENGTH + 1)]
-                    if len(rows) > 20_000:
-                        yield _rows(_SPAN, rows)
-                        rows = []
-                yield _rows(_SPAN, rows)
+                yield from _strings_of(doc_id[a:b], row[a:b], start[a:b], offset[a:b], size[a:b], text)
 
     return run
 
 
-def _apply(names: list[str], keep_columns: bool):
-    """Document rows behind their bucket's removed runs: what is left of each."""
+def _apply(names: list[str], last: list[str], keep_columns: bool):
+    """Document rows behind their bucket's removed runs: what is left of each; `last` names what is told of it."""
 
     def cut(text: bytes, spans) -> tuple[bytes, int, int]:
         if spans is None:
@@ -551,71 +632,88 @@ def _apply(names: list[str], keep_columns: bool):
             columns += [pa.array(removed, pa.int64()), pa.array(count, pa.int64())]
             if not keep_columns:
                 columns.append(pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()))
-            last = ["__kept", "__n_removed", "__n_spans"] if keep_columns else ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
             yield pa.record_batch(columns, names=[*names, *last])
 
     return run
 
 
-def _removed(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """docs: doc_id, text, others. The documents with `__row`, the removed runs (bucket, blob) and the number of document buckets."""
+def _removed(docs: DataFrame, row: str, bucket: str) -> tuple[DataFrame, DataFrame, int]:
+    """docs: doc_id, text, others. The documents with columns `row` and `bucket`, the removed runs (bucket, blob) and the number of document buckets."""
     prepare(docs.sparkSession)
     _, size = input_bytes(docs, "text")
     homes, buckets = max(8, size // HOME), max(8, size // BUCKET)
-    told = docs.withColumn("__id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("__row", F.xxhash64("doc_id", "text"))
-    lean = told.select("__id", "__row", "text")
-
-    packed = lean.mapInArrow(_anchors(buckets, homes), PACKED)
-    asked = packed.select((F.col("kind") * 1_000_003 + F.col("bucket")).alias("key"), "blob", "kind", "bucket").repartition(max(8, buckets // 2), "key").sortWithinPartitions("key")
-    shared = Stash(asked.mapInArrow(_shared(buckets, homes), PACKED), "suffix-shared")
-    answers = shared.df.select("bucket", "blob")
-
-    home = F.expr(f"cast(case when __row >= 0 then __row % {homes} else ((__row & 9223372036854775807L) % {homes} + {pow(2, 63, homes)}) % {homes} end as int)")
-    side = answers.select("bucket", F.lit(0).alias("kind"), "blob", *(F.lit(None).cast(t).alias(c) for c, t in (("__id", "long"), ("__row", "long"), ("text", "binary"))))
-    text = lean.select(home.alias("bucket"), F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("blob"), "__id", "__row", F.col("text").cast("binary").alias("text")).filter("text is not null")
-    both = side.union(text).repartition(max(8, homes // HOMES), "bucket").sortWithinPartitions("bucket", "kind")
-    contexts = Stash(both.mapInArrow(_contexts(buckets, homes), SPAN), "suffix-contexts")
-    shared.drop()
-
-    asked = contexts.df.filter(F.col("kind") == ASK).select("bucket", "blob").repartition(max(8, buckets // 2), "bucket").sortWithinPartitions("bucket")
-    settled = Stash(asked.mapInArrow(_sorted_contexts(homes), SPAN), "suffix-settled")
-    spans = contexts.df.filter(F.col("kind") == TELL).select("bucket", "blob").union(settled.df.filter(F.col("kind") == TELL).select("bucket", "blob"))
-
-    large = settled.df.filter(F.col("kind") == ASK).select("doc_id", "row", "start", "string")
+    key = F.xxhash64("doc_id", "text")
+    lean = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), key.alias("row"), "text")
+    home = lambda c: F.expr(f"cast(case when `{c}` >= 0 then `{c}` % {homes} else ((`{c}` & 9223372036854775807L) % {homes} + {pow(2, 63, homes)}) % {homes} end as int)")
+    with tidy() as keep:
+        packed = lean.mapInArrow(_anchors(buckets, homes), PACKED)
+        asked = packed.select((F.col("kind") * 1_000_003 + F.col("bucket")).alias("key"), "blob", "kind", "bucket").repartition(max(8, buckets // 2), "key").sortWithinPartitions("key")
+        shared = stash(asked.mapInArrow(_shared(buckets, homes), PACKED), "suffix-shared")
+
+        side = shared.select("bucket", F.lit(0).alias("kind"), "blob", *(F.lit(None).cast(t).alias(c) for c, t in (("id", "long"), ("row", "long"), ("text", "binary"))))
+        text = lean.select(home("row").alias("bucket"), F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("blob"), "id", "row", F.col("text").cast("binary").alias("text")).filter("text is not null")
+        both = side.union(text).repartition(max(8, homes // HOMES), "bucket").sortWithinPartitions("bucket", "kind")
+        contexts = keep(both.mapInArrow(_contexts(buckets, homes), SPAN), "suffix-contexts").df
+
+    asked = contexts.filter(F.col("kind") == ASK).select("bucket", "blob", "size")
+    heavy = stash(asked.groupBy("bucket").agg(F.sum("size").alias("size")).filter(F.col("size") > HEAVY).select("bucket"), "suffix-heavy")
+    light, strings = asked.select("bucket", "blob"), []
+    if not heavy.isEmpty():
+        strings.append(light.join(heavy, "bucket", "left_semi").mapInArrow(_strings, STRING))
+        light = light.join(heavy, "bucket", "left_anti")
+    dealt = light.repartition(max(8, buckets // 2), "bucket").sortWithinPartitions("bucket")
+    settled = stash(dealt.mapInArrow(_sorted_contexts(homes), STRING), "suffix-settled")
+    spans = contexts.filter(F.col("kind") == TELL).select("bucket", "blob").union(settled.filter(F.col("kind") == TELL).select("bucket", "blob"))
+
+    large = settled.filter(F.col("kind") == ASK)
     if not large.isEmpty():
-        least = large.groupBy("string").agg(F.min("doc_id").alias("least"))
-        lost = large.join(least, "string").filter("least < doc_id").select("row", "start")
-        spans = spans.union(stash(lost.mapInArrow(_as_spans(homes), PACKED), "suffix-large").select("bucket", "blob"))
-    return told.withColumn("__bucket", home), spans, homes
+        strings.append(large)
+    for each in strings:
+        spans = spans.union(_settled_strings(each.select("doc_id", "row", "start", "string"), homes))
+    return docs.withColumn(row, key).withColumn(bucket, home(row)), spans, homes
+
+
+def _settled_strings(each: DataFrame, homes: int) -> DataFrame:
+    """Strings one by one: the runs (bucket, blob) to remove. Both sides of the join are plain scans, so that a hot string's task can be split."""
+    with tidy() as keep:
+        rows = stash(each, "suffix-strings")
+        least = stash(rows.groupBy("string").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").drop("most"), "suffix-least")
+        lost = rows.join(least, "string").filter("least < doc_id").select("row", "start")
+        return keep(lost.mapInArrow(_as_spans(homes), PACKED), "suffix-large").df.select("bucket", "blob")
 
 
 def _as_spans(homes: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, start = (batch.column(i).to_numpy() for i in range(2))
-            yield _rows(_PACKED, [x[:3] for x in _told(row, start, start + LENGTH, homes)])
+            yield _rows(_PACKED, _told(row, start, start + LENGTH, homes))
 
     return run
 
 
-def _joined(told: DataFrame, spans: DataFrame, homes: int, names: list[str]) -> DataFrame:
-    """Documents and spans of each bucket in one partition, spans first."""
+def _joined(told: DataFrame, spans: DataFrame, homes: int, row: str, bucket: str, names: list[str]) -> DataFrame:
+    """Documents and spans of each bucket in one partition, spans first: bucket, kind, blob, row, text and the named columns."""
+    kind, blob, text = unused(told, "__kind", "__blob", "__text")
     fields = {f.name: f.dataType for f in told.schema}
-    text = told.select(F.col("__bucket"), F.lit(1).alias("__kind"), F.lit(None).cast("binary").alias("__blob"), "__row", F.col("text").cast("binary").alias("__text"), *names)
-    side = spans.select(F.col("bucket").alias("__bucket"), F.lit(0).alias("__kind"), F.col("blob").alias("__blob"), F.lit(None).cast("long"), F.lit(None).cast("binary"), *(F.lit(None).cast(fields[c]) for c in names))
-    return side.union(text).toDF("__bucket", "__kind", "__blob", "__row", "__text", *names).repartition(max(8, homes // HOMES), "__bucket").sortWithinPartitions("__bucket", "__kind")
+    docs = told.select(F.col(bucket), F.lit(1).alias(kind), F.lit(None).cast("binary").alias(blob), row, F.col("text").cast("binary").alias(text), *names)
+    side = spans.select(F.col("bucket").alias(bucket), F.lit(0).alias(kind), F.col("blob").alias(blob), F.lit(None).cast("long").alias(row), F.lit(None).cast("binary").alias(text), *(F.lit(None).cast(fields[c]).alias(c) for c in names))
+    return side.union(docs).repartition(max(8, homes // HOMES), bucket).sortWithinPartitions(bucket, kind)
 
 
 def spans(docs: DataFrame) -> DataFrame:
     """docs: doc_id, text. Each row's doc_id, n_bytes, n_removed, n_spans and the SHA-256 of what is left."""
-    told, removed, homes = _removed(docs.select("doc_id", "text"))
-    return _joined(told, removed, homes, ["doc_id"]).mapInArrow(_apply(["doc_id"], False), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    told, removed, homes = _removed(docs.select("doc_id", "text"), "row", "bucket")
+    last = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string"}
+    schema = "doc_id long, " + ", ".join(f"{n} {t}" for n, t in last.items())
+    return _joined(told, removed, homes, "row", "bucket", ["doc_id"]).mapInArrow(_apply(["doc_id"], list(last), False), schema)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """All columns of docs, with the text that is left; a character that is cut apart goes. Rows that lose all of a text go."""
     others = [c for c in docs.columns if c != "text"]
-    told, removed, homes = _removed(docs)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text") + ", __kept string, __n_removed long, __n_spans long"
-    cut = _joined(told, removed, homes, others).mapInArrow(_apply(others, True), schema)
-    return cut.filter("__kept <> '' or __n_removed = 0").select(*(F.col("__kept").alias(c) if c == "text" else F.col(c) for c in docs.columns))
+    row, bucket, kept, n_removed, n_spans = unused(docs, "__row", "__bucket", "__kept", "__n_removed", "__n_spans")
+    told, removed, homes = _removed(docs, row, bucket)
+    schema = StructType([f for f in docs.schema if f.name != "text"]).add(kept, "string").add(n_removed, "long").add(n_spans, "long")
+    cut = _joined(told, removed, homes, row, bucket, others).mapInArrow(_apply(others, [kept, n_removed, n_spans], True), schema)
+    left = cut.filter((F.col(kept) != "") | (F.col(n_removed) == 0))
+    return left.select(*(F.col(kept).alias(c) if c == "text" else F.col(c) for c in docs.columns))

@@ -5,6 +5,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ledgerline.llm import decontam, simhash, suffixdedup
@@ -157,6 +158,68 @@ def test_large_anchors_go_string_by_string(spark, monkeypatch):
     assert sorted((tuple(x) for x in suffixdedup.spans(df).collect()), key=str) == brute_spans(rows)
 
 
+def test_hot_anchor_goes_to_no_task(spark, monkeypatch):
+    """A phrase that stands in all documents, between words of their own: far more contexts than a task may hold."""
+    most = 6000
+    monkeypatch.setattr(suffixdedup, "HEAVY", most)
+    real, settle, calls = suffixdedup._sorted_contexts, suffixdedup._settled_strings, []
+
+    def watched(homes):
+        inner = real(homes)
+
+        def run(batches):
+            def seen():
+                brought = {}
+                for batch in batches:
+                    for b, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                        brought[b] = brought.get(b, 0) + int(suffixdedup._contexts_of(blob.as_py())[4].sum())
+                    assert max(brought.values(), default=0) <= most
+                    yield batch
+
+            yield from inner(seen())
+
+        return run
+
+    monkeypatch.setattr(suffixdedup, "_sorted_contexts", watched)
+    monkeypatch.setattr(suffixdedup, "_settled_strings", lambda each, homes: calls.append(each.count()) or settle(each, homes))
+    r = random.Random(11)
+    own = lambda n: "".join(r.choice("pqrstuvw ") for _ in range(n))
+    rows = [(i, own(30) + r.choice("xyz") * 3 + " a phrase of forty bytes that all share. " + r.choice("xyz") * 8 + own(30)) for i in range(400)]
+    rows += [(500 + i, own(40) + "another passage of some more than fifty bytes, in ten of them" + own(40)) for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(x) for x in suffixdedup.spans(df).collect()), key=str) == brute_spans(rows)
+    assert len(calls) == 1 and calls[0] > 2000
+
+
+def test_anchors_meet_in_bounded_batches(monkeypatch):
+    """Each anchor's rows are all told, whatever the batches; what is held is one entry of each anchor."""
+    r = random.Random(5)
+    buckets, homes = 2, 3
+    pairs = {(r.choice([4, 6, 8, 5, 7, 2 * r.randrange(50), 2 * r.randrange(50) + 1]), row) for row in range(400) for _ in range(2)}
+    blobs = []
+    for bucket in range(buckets):
+        mine = sorted(p for p in pairs if p[0] % buckets == bucket)
+        r.shuffle(mine)
+        for i in range(0, len(mine), 25):
+            g, row = (np.array(x) for x in zip(*mine[i : i + 25]))
+            own, local = np.unique(row.astype(np.int64), return_inverse=True)
+            blobs.append((bucket, suffixdedup._pack(suffixdedup._planes(g.astype(np.uint64) // np.uint64(buckets), 5), own, suffixdedup._planes(local.astype(np.uint64), 3))))
+    batch = pa.record_batch([pa.array([b for b, _ in blobs]), pa.array([x for _, x in blobs]), pa.array([suffixdedup.ASK] * len(blobs), pa.int32()), pa.array([b for b, _ in blobs], pa.int32())], names=["key", "blob", "kind", "bucket"])
+    count = {}
+    for g, _ in pairs:
+        count[g] = count.get(g, 0) + 1
+    want = {(row, g) for g, row in pairs if count[g] > 1}
+    for meet in (1, 60, 1 << 20):
+        monkeypatch.setattr(suffixdedup, "MEET", meet)
+        told = []
+        for out in suffixdedup._shared(buckets, homes)([batch]):
+            for home, blob in zip(out.column(1).to_pylist(), out.column(2)):
+                rows, g = suffixdedup._untell(blob.as_py())
+                assert set(suffixdedup._doc_bucket(rows, homes).tolist()) <= {home}
+                told += zip(rows.tolist(), g.tolist())
+        assert len(told) == len(set(told)) and set(told) == want
+
+
 def test_dedup_keeps_columns(spark):
     text = "".join(random.Random(8).choice("abcdefgh ") for _ in range(200))
     rows = [(1, text, "en"), (2, text, None), (3, "own é " + text, "de"), (4, None, "x"), (5, "", "y")]
