@@ -5,8 +5,10 @@ rest. Of the pieces above a third of the capacity at most two fit in one sequenc
 from the longest down, each takes the longest that still fits beside it. All other pieces, longest first, go to the
 sequence with the smallest gap that holds them, or open one.
 
-Pieces are dealt round robin to shards of at most `SHARD` pieces, each packed alone: a shard has one sequence
-with room to spare, so that shards of this size cost nearly nothing, and no task grows with the input.
+Pieces are numbered through all partitions and dealt by turns to shards of at most `SHARD` pieces, each packed alone: a shard has
+one sequence with room to spare, so that shards of this size cost nearly nothing, and no task grows with the input.
+
+Any tokenizer file serves. One with the settings in `KNOWN` is encoded by chunks that are remembered; any other encodes whole texts.
 
 Defined results: null text: empty, hence the end id alone. Ties: any of equal lengths, repeatably. Repeated rows and
 null ids are packed as rows of their own. Empty table: no pieces. Other columns are ignored.
@@ -14,6 +16,8 @@ null ids are packed as rows of their own. Empty table: no pieces. Other columns
 
 from __future__ import annotations
 
+import itertools
+import json
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -31,6 +35,19 @@ SHARD = 65_536
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 
+#: The normalizer and splitter that chunks rely on.
+KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None, "truncation": None, "padding": None,
+}
+
 #: Texts of these characters alone are split here; others go to the tokenizer as they are.
 _SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
@@ -51,6 +68,10 @@ class ChunkEncoder(dict):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        marks = [t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in told.get("added_tokens", [])]
+        self.chunked = all(told.get(k) == v for k, v in KNOWN.items()) and told["model"].get("type") == "BPE" and all(marks)
         self.model = self.tokenizer.model
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.byte_form = {c: spell(chr(c))[0][0] for c in (*range(33, 127), *range(192, 256))}
@@ -82,7 +103,9 @@ class ChunkEncoder(dict):
         return out
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split())) if text else b""
+        if not text:
+            return b""
+        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split())) if self.chunked else self.whole(text)
 
 
 def _cut(tokenizer: str, capacity: int, end_id: int):
@@ -180,7 +203,19 @@ def _pack(capacity: int):
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """docs: doc_id, text. A row per piece with its sequence and its place there."""
-    cut = stash(pieces(docs, tokenizer, capacity, end_id), "pieces")
-    shards = max(1, -(-cut.count() // SHARD))
-    dealt = cut.withColumn("shard", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) % shards)
+    shards, dealt = deal(stash(pieces(docs, tokenizer, capacity, end_id), "pieces"))
     return dealt.groupBy("shard").applyInArrow(_pack(capacity), PACKED)
+
+
+def deal(cut: DataFrame) -> tuple[int, DataFrame]:
+    """The number of shards, and the rows with their `shard`: shard sizes differ by one at most.
+
+    A row's number is that of its place in its partition behind all rows of the partitions before; the driver gets one count of each
+    partition. A stored table is read by the same partitions twice; were it not, shards would only be less even.
+    """
+    counts = dict(cut.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    shards = max(1, -(-sum(counts.values()) // SHARD))
+    before = list(itertools.accumulate((counts.get(p, 0) for p in range(max(counts, default=0))), initial=0))
+    first = F.get(F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>"), F.spark_partition_id())  # folded to one literal
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return shards, cut.withColumn("shard", (place + F.coalesce(first, F.lit(0))) % shards)

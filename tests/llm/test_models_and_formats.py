@@ -3,7 +3,9 @@
 import base64
 import gzip
 import hashlib
+import math
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -12,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import langid, packing, tokencount, toxicity, warc
+from ledgerline.llm.common import stash
 from ledgerline.llm.queries import word_tokenizer
 
 SF = "/root/testdata/sf0.01"
@@ -30,7 +33,7 @@ def test_language_id_held_out(spark):
 def test_language_id_edges(spark):
     en, de, xx = "the cat and the dog with this ", "der hund und die katze mit ", "zorg blip blop quux "
     rows = [(i, t * 5, v) for i, (t, v) in enumerate([(en, "en"), (de, "de"), (xx, "xx")] * 12)]
-    rows += [(100, None, "en"), (101, "", None), (102, "123 !? ١", None), (103, "the dog and the cat " * 20_000, None), (None, en, "en"), (0, en, "en")]
+    rows += [(100, None, "en"), (101, "", None), (102, "123 !? ١ ½² Ⅷ ①", None), (103, "the dog and the cat " * 20_000, None), (None, en, "en"), (0, en, "en")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("_p", F.lit(1))
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(df).collect()}
     assert got[100] == got[101] == got[102] == ("und", 0.0) and got[103][0] == "en" and got[1][0] == "de" and got[2][0] == "xx" and got[None][0] == "en"
@@ -39,6 +42,70 @@ def test_language_id_edges(spark):
     assert langid.predict(df.limit(0)).count() == 0
 
 
+def test_letters():
+    model = langid.Model.fit(np.stack([langid.features(b"the cat"), langid.features(b"der hund")]), ["en", "de"], {})
+    for text in ("½²", "Ⅷ", "①", "½ 12", "_", "١", "é́".replace("é", "")):
+        assert model.predict(text.encode()) == ("und", 0.0)
+    for text in ("ª", "ß", "語", "1x"):
+        assert model.predict(text.encode())[0] in ("en", "de")
+
+
+def plain_prediction(model, text):
+    """Family and votes with dictionaries and loops."""
+    text = text or ""
+    if not any(unicodedata.category(c).startswith("L") for c in text):
+        return "und", 0.0
+    folded = [b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in b" " + text.encode() + b" "]
+    found = {}
+    for a, b, c in zip(folded, folded[1:], folded[2:]):
+        if b != 32:
+            at = ((((a << 16) | (b << 8) | c) * 2654435761) % (1 << 32)) >> 20
+            found[at] = found.get(at, 0) + 1
+    size = math.sqrt(sum(found.values()))
+    x = {k: math.sqrt(v) / size for k, v in found.items()}
+    dot = lambda w, b: b + sum(v * float(w[k]) for k, v in x.items())
+    margins = [dot(model.family_w[:, i], float(model.family_b[i])) for i in range(len(model.families))]
+    best = margins.index(max(margins))
+    score = 1 / (1 + math.exp(-4 * margins[best]))
+    langs = model.languages[model.families[best]]
+    wins, sums, least = dict.fromkeys(langs, 0), dict.fromkeys(langs, 0.0), dict.fromkeys(langs, 1.0)
+    k = 0
+    for i, a in enumerate(langs):
+        for b in langs[i + 1 :]:
+            w, bias = model.pairs[model.families[best]]
+            m = dot(w[:, k], float(bias[k]))
+            k += 1
+            wins[a if m >= 0 else b] += 1
+            sums[a] += m
+            sums[b] -= m
+            least[a] = min(least[a], 1 / (1 + math.exp(-4 * m)))
+            least[b] = min(least[b], 1 / (1 + math.exp(4 * m)))
+    win = max(langs, key=lambda v: (wins[v], sums[v]))
+    return win, score * least[win]
+
+
+def test_language_id_against_loops(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.collect()
+    for families in (None, {v: "all" for v in ("en", "de", "fr", "es")}):
+        model = langid.fit(docs, families)
+        got = {r["doc_id"]: r for r in langid.predict(docs, model).collect()}
+        assert len(got) == len(rows)
+        for r in rows:
+            lang, score = plain_prediction(model, r["text"])
+            assert got[r["doc_id"]]["lang_pred"] == lang and abs(got[r["doc_id"]]["score"] - score) < 1e-4
+            assert got[r["doc_id"]]["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+
+
+def test_fit_learns_one_row_of_an_id_and_few_rows_of_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_ROWS", 12)
+    seen = []
+    monkeypatch.setattr(langid.Model, "fit", staticmethod(lambda x, langs, families: seen.append(langs)))
+    rows = [(i % 50, f"text {i}", f"l{i % 3}") for i in range(600)] + [(1, "zz text", "l1")] * 9
+    langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(seen[0]) == 12 and {seen[0].count(v) for v in set(seen[0])} == {4}
+
+
 def test_toxicity_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.predict(docs, labels).filter("held_out").join(labels, "doc_id").select("score", "predicted", "toxic").toPandas()
@@ -58,6 +125,62 @@ def test_toxicity_edges(spark):
     assert toxicity.predict(docs.limit(0), labels).count() == 0
 
 
+def plain_toxicity(docs, labels, dimensions=1 << 20):
+    """Features, FTRL-proximal and scores with dictionaries and loops; weights and scores."""
+    mask = (1 << 64) - 1
+    a, b = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+
+    def features(text):
+        words = "".join(c.lower() if c.isascii() and c.isalpha() else c if not c.isascii() or c.isdigit() else " " for c in text or "").encode().split()
+        h = [((zlib.crc32(w) << 32) | zlib.crc32(w, 0x5BD1E995)) * a & mask for w in words]
+        found = set(h)
+        found |= {(x * a + y) & mask for x, y in zip(h, h[1:])}
+        found |= {((x ^ b) * a + y) & mask for x, y in zip(h, h[2:])}
+        return {(x * b & mask) >> 44 for x in found}
+
+    toxic = {}
+    for i, y in labels:
+        if i is not None and y is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            toxic[i] = max(toxic.get(i, 0), y)
+    texts = {}
+    for i, t in docs:
+        if i in toxic:
+            texts[i] = min(x for x in (texts.get(i), t) if x is not None) if t is not None or i in texts else None
+    z, n = {}, {}
+    weight = lambda k: (
+        0.0 if abs(z.get(k, 0.0)) <= (0 if k == dimensions else toxicity.L1)
+        else -(z[k] - math.copysign(0 if k == dimensions else toxicity.L1, z[k])) / (toxicity.BETA + math.sqrt(n[k])) * toxicity.ALPHA
+    )
+    logistic = lambda m: 1 / (1 + math.exp(-min(30, max(-30, m))))
+    return toxic, texts, features, z, n, weight, logistic
+
+
+def test_toxicity_against_loops(spark):
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(40)]
+    docs = [(i, " ".join(r.choice(words) for _ in range(r.randrange(30))) + (" you idiot, go away" if i % 4 == 0 else "")) for i in range(240)]
+    docs += [(5, "AAA smaller text"), (7, None), (None, "idiot"), (900, None), (901, "you idiot go away")]
+    labels = [(i, int(i % 4 == 0)) for i in range(240)] + [(6, None), (None, 1), (9, 1)]
+    df, known = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    toxic, texts, features, z, n, weight, logistic = plain_toxicity(docs, labels)
+    place = {x["doc_id"]: x["h"] for x in known.select("doc_id", F.xxhash64(F.lit("toxicity"), F.col("doc_id")).alias("h")).collect()}
+    for _ in range(toxicity.EPOCHS):
+        for i in sorted(texts, key=place.__getitem__):
+            x = [*features(texts[i]), 1 << 20]
+            w = {k: weight(k) for k in x}
+            g = logistic(sum(w.values())) - toxic[i]
+            for k in x:
+                sigma = (math.sqrt(n.get(k, 0.0) + g * g) - math.sqrt(n.get(k, 0.0))) / toxicity.ALPHA
+                z[k] = z.get(k, 0.0) + g - sigma * w[k]
+                n[k] = n.get(k, 0.0) + g * g
+    got = dict(toxicity.fit(df, known))
+    want = {k: weight(k) for k in z if weight(k)}
+    assert got.keys() == want.keys() and len(got) > 5 and all(abs(got[k] - want[k]) < 1e-6 for k in got)
+    scores = sorted((str(d["doc_id"]), round(d["score"], 4), d["predicted"], d["held_out"]) for d in toxicity.predict(df, known).collect())
+    plain = [(i, logistic(sum(want.get(k, 0.0) for k in [*features(t), 1 << 20]))) for i, t in docs]
+    assert scores == sorted((str(i), round(s, 4), int(s >= 0.3), i is not None and zlib.crc32(str(i).encode()) % 4 == 2) for i, s in plain)
+
+
 def test_ftrl_is_sparse_and_finds_the_signal():
     r = np.random.default_rng(1)
     examples = [np.unique(r.integers(10, 5000, 60)) for _ in range(600)]
@@ -101,6 +224,19 @@ def test_warc_round_trip(spark):
     assert warc.read(spark, *warc.write(pages.limit(0))).count() == 0
 
 
+def test_warc_many_shared_payloads_and_parts(spark, monkeypatch):
+    rows = [(i, f"http://x.com/{i}", f"page {i % 40}" if i % 3 else f"own {i} " + hashlib.sha1(b"%d" % i).hexdigest() * 200) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 3)
+    folder, index = warc.write(pages)
+    monkeypatch.setattr(warc, "MOST_READ", 16 << 10)
+    got = warc.read(spark, folder, index)
+    size = index.agg(F.sum("length")).first()[0]
+    per_task = got.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert len(per_task) > 3 and len(per_task) >= size // (16 << 10) // 2
+    assert sorted((tuple(x)[:5] for x in got.collect()), key=str) == brute_warc(rows)
+
+
 def test_warc_threshold_and_damage(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc")], "page_id long, url string, html string")
     got = {r["page_id"]: r["refers_to"] for r in warc.read(spark, *warc.write(pages, min_bytes=3)).collect()}
@@ -122,41 +258,57 @@ def test_edits_equal_counting_again(pieces_tools):
     r = random.Random(1)
     letters = " \n\t 'srelvtdm1a,!é漢"
     make = lambda n: "".join(r.choice(letters) for _ in range(n))
-    for _ in range(600):
-        text = make(r.choice([0, 3, 50, 900]))
+    for _ in range(500):
+        text = make(r.choice([0, 3, 50, 900, 2500]))
         tree = tokencount.Tree.build(text, pattern.findall, counts)
         for _ in range(3):
-            a = r.randint(0, len(text))
-            b = min(len(text), a + r.choice([0, 1, 2, 7, 200]))
-            text, encoded = tree.edit(text, a, b, make(r.choice([0, 1, 3, 400])), pattern, counts)
-            assert (tree.total, tree.chars[1]) == (sum(map(counts.__getitem__, pattern.findall(text))), len(text))
+            cuts = sorted(r.randint(0, len(text)) for _ in range(2 * r.choice([1, 1, 2, 5, 20])))
+            edits = [(a, min(b, a + r.choice([0, 1, 7, 500])), make(r.choice([0, 1, 3, 400]))) for a, b in zip(cuts[::2], cuts[1::2])]
+            want = text
+            for a, b, new in reversed(edits):
+                want = want[:a] + new + want[b:]
+            text, _ = tree.edit(text, edits, pattern, counts)
+            assert text == want and (tree.total, tree.chars[1]) == (sum(map(counts.__getitem__, pattern.findall(text))), len(text))
+            assert all(tree.chars[i] == tree.chars[2 * i] + tree.chars[2 * i + 1] and tree.tokens[i] == tree.tokens[2 * i] + tree.tokens[2 * i + 1] for i in range(1, tree.size))
 
 
 def test_an_edit_touches_its_region_alone(pieces_tools):
     counts, pattern = pieces_tools
     text = " ".join(f"word{i}" for i in range(5000))
     tree = tokencount.Tree.build(text, pattern.findall, counts)
-    _, encoded = tree.edit(text, 20_000, 20_004, "other", pattern, counts)
-    assert encoded < 4 * tokencount.LEAF
+    text, encoded = tree.edit(text, [(20_000, 20_004, "other"), (30_000, 30_001, "x")], pattern, counts)
+    assert encoded < 8 * tokencount.LEAF
+    text, _ = tree.edit(text, [(20_000, 20_000, " and more words" * 5000)], pattern, counts)
+    assert max(tree.tokens[tree.size :]) < 8 * tokencount.LEAF  # a long insertion gets leaves of its own
+    assert tree.edit(text, [(40_000, 40_003, "y")], pattern, counts)[1] < 4 * tokencount.LEAF
+    with pytest.raises(ValueError, match="overlap"):
+        tree.edit(text, [(0, 3, ""), (2, 4, "")], pattern, counts)
 
 
 def test_recount(spark, pieces_tools):
     counts, pattern = pieces_tools
-    texts = [(1, "mail a.b@example.org or call +49 30 1234567, thanks"), (2, None), (3, ""), (4, "word " * 30_000 + "x@y.zz"), (1, "no edit"), (None, "deadbeef" * 5)]
-    df = spark.createDataFrame(texts, "doc_id long, text string").withColumn("n_tokens", F.lit("clash"))
+    texts = [(1, "mail a.b@example.org or call +49 30 1234567, thanks http://a.b/c\n\n\n\nx"), (2, None), (3, ""), (4, "word " * 30_000 + "x@y.zz"), (1, "no edit"), (None, "deadbeef" * 5)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").withColumns({"n_tokens": F.lit("clash"), "__c": F.lit(1)})
     path, p = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    kept = tokencount.trees(df, path, p).withColumn("edits", tokencount.edit_finder()("text"))
-    want = []
-    for i, t in texts:
-        after = t or ""
-        for a, b, new in reversed(tokencount.redactions(after)):
-            after = after[:a] + new + after[b:]
-        n = lambda x: sum(map(counts.__getitem__, pattern.findall(x)))
-        want.append((i, n(t or ""), len(tokencount.redactions(t or "")), n(after)))
-    assert sorted((tuple(r)[:4] for r in tokencount.recount(kept, path, p).collect()), key=str) == sorted(want, key=str)
-    assert tokencount.recount(kept.limit(0), path, p).count() == 0
-    with pytest.raises(ValueError, match="overlap"):
-        tokencount.apply_edits("abcdef", tokencount.Tree.build("abcdef", pattern.findall, counts), [{"start": 0, "stop": 3, "text": ""}, {"start": 2, "stop": 4, "text": ""}], pattern, counts)
+    n = lambda x: sum(map(counts.__getitem__, pattern.findall(x or "")))
+    kept = tokencount.trees(df, path, p)
+    for find in (tokencount.redactions, tokencount.tidyings):  # the second round starts from the first one's texts and trees
+        after, want = [], []
+        for i, t in texts:
+            x = t
+            for a, b, new in reversed(find(t or "")):
+                x = x[:a] + new + x[b:]
+            after.append((i, x))
+            want.append((i, x, n(t), len(find(t or "")), n(x)))
+        kept = tokencount.recount(kept.withColumn("edits", tokencount.edit_finder(find)("text")), path, p)
+        got = kept.collect()
+        assert sorted(((r["doc_id"], r["text"], r["n_tokens"], r["n_edits"], r["n_tokens_after"]) for r in got), key=str) == sorted(want, key=str)
+        assert all((r["n_pretokens_encoded"] > 0) == (r["n_edits"] > 0) and r["n_pretokens_encoded"] < 700 and r["tree"]["tokens"][1] == r["n_tokens_after"] and r["__c"] == 1 for r in got)
+        texts = after
+    assert sum(x != y for (_, x), (_, y) in zip(texts, df.select("doc_id", "text").collect())) == 3
+    assert tokencount.recount(kept.withColumn("edits", tokencount.edit_finder()("text")).limit(0), path, p).count() == 0
+    null_edit = spark.createDataFrame([(1, "abc", [None, (1, 2, None)])], "doc_id long, text string, edits array<struct<start: int, stop: int, text: string>>")
+    assert tokencount.recount(tokencount.trees(null_edit, path, p), path, p).first()["text"] == "ac"
 
 
 def check_packing(rows, texts, capacity):
@@ -206,6 +358,33 @@ def test_shards_do_not_collide(spark, monkeypatch):
     assert max(used.values()) <= 4096 and len(rows) >= 300
 
 
+def test_shards_are_even(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 40)
+    for n, parts in ((2000, 100), (1999, 7), (30, 90), (1, 1)):
+        cut = stash(spark.range(n).repartition(parts), "test-cut")
+        shards, dealt = packing.deal(cut)
+        sizes = [r["n"] for r in dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert shards == -(-n // 40) and sum(sizes) == n and len(sizes) == shards and max(sizes) <= 40 and max(sizes) - min(sizes) <= 1
+    assert packing.deal(spark.range(0))[0] == 1
+
+
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(word_tokenizer(), encoding="utf-8") as f:
+        told = json.load(f)
+    told["normalizer"]["normalizers"] = told["normalizer"]["normalizers"][:2]  # keeps upper case
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(told), encoding="utf-8")
+    text = "Hello WORLD, it's Änder 12 <|endoftext|> x"
+    for path in (word_tokenizer(), str(other)):
+        want = np.array(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert packing.ChunkEncoder(path).encode(text) == want
+    assert packing.ChunkEncoder(word_tokenizer()).chunked and not packing.ChunkEncoder(str(other)).chunked
+
+
 def test_large_items_pair_at_most_twice():
     lengths = [70, 60, 55, 45, 41, 40, 36, 35, 20, 10, 9, 1]
     sequence, offset = packing.pack_lengths(lengths, 100)
