@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import decontam, langid, packing, quality, simhash, suffixdedup, tokencount, toxicity, urlfilter, warc
+from .common import stash
 
 #: Action, host and path of the url rules.
 URL_RULES = [
@@ -62,8 +64,13 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path, pattern = tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    kept = tokencount.trees(docs, path, pattern).withColumn("edits", tokencount.edit_finder()("text"))
-    return tokencount.recount(kept, path, pattern)
+    first = tokencount.recount(tokencount.trees(docs, path, pattern).withColumn("edits", tokencount.edit_finder()("text")), path, pattern)
+    kept = stash(first.withColumnsRenamed({c: f"{c}_first" for c in tokencount.COUNTS}), "token-trees")
+    again = tokencount.recount(kept.withColumn("edits", tokencount.edit_finder(tokencount.tidyings)("text")), path, pattern)
+    return again.select(
+        "doc_id", F.col("n_tokens_first").alias("n_tokens"), F.col("n_edits_first").alias("n_edits"), F.col("n_tokens_after_first").alias("n_tokens_after"),
+        F.col("n_edits").alias("n_edits_second"), F.col("n_tokens_after").alias("n_tokens_last"), (F.col("n_pretokens_encoded_first") + F.col("n_pretokens_encoded")).alias("n_pretokens_encoded"),
+    )
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_filters": op10_url_filters,
 }
 
-#: The same counts, sketches, fences and fallbacks.
+#: The same counts, sketches, quantiles, fences and fallbacks.
 _OP1 = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text,
@@ -121,23 +128,21 @@ m AS (
 v AS (
   SELECT r, lang, source, unnest([1, 2, 3, 4]) AS metric, unnest([m1, m2, m3, m4]) AS v FROM m WHERE NOT base_failed),
 b AS (
-  SELECT lang, source, metric, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS b FROM v),
+  SELECT r, lang, source, metric, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS b FROM v),
 q2 AS (
-  SELECT lang, source, metric, count(*) AS t, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM b GROUP BY ALL),
+  SELECT lang, source, metric, count(*) AS t, quantile_disc(b, [0.25, 0.75, 0.02, 0.98, 0.9, 0.01, 0.99]) AS q FROM b GROUP BY ALL),
 q1 AS (
-  SELECT lang, metric, count(*) AS t, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM b GROUP BY ALL),
+  SELECT lang, metric, count(*) AS t, quantile_disc(b, [0.25, 0.75, 0.02, 0.98, 0.9, 0.01, 0.99]) AS q FROM b GROUP BY ALL),
 q0 AS (
-  SELECT metric, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM b GROUP BY ALL),
+  SELECT metric, quantile_disc(b, [0.25, 0.75, 0.02, 0.98, 0.9, 0.01, 0.99]) AS q FROM b GROUP BY ALL),
 p AS (
-  SELECT q2.lang, q2.source, q2.metric,
-         CASE WHEN q2.t >= 50 THEN q2.q1 WHEN q1.t >= 50 THEN q1.q1 ELSE q0.q1 END AS lo,
-         CASE WHEN q2.t >= 50 THEN q2.q3 WHEN q1.t >= 50 THEN q1.q3 ELSE q0.q3 END AS hi
+  SELECT q2.lang, q2.source, q2.metric, CASE WHEN q2.t >= 50 THEN q2.q WHEN q1.t >= 50 THEN q1.q ELSE q0.q END AS q
   FROM q2 JOIN q1 ON q1.lang IS NOT DISTINCT FROM q2.lang AND q1.metric = q2.metric JOIN q0 ON q0.metric = q2.metric),
 o AS (
-  SELECT DISTINCT v.r FROM v JOIN p
-    ON p.lang IS NOT DISTINCT FROM v.lang AND p.source IS NOT DISTINCT FROM v.source AND p.metric = v.metric
-  WHERE v.v > hi + 6 * greatest(hi - lo, CASE v.metric WHEN 1 THEN 200 WHEN 2 THEN 25 WHEN 3 THEN 60 ELSE 45 END)
-     OR v.metric = 1 AND v.v < lo - 6 * greatest(hi - lo, 200))
+  SELECT DISTINCT b.r FROM b JOIN p
+    ON p.lang IS NOT DISTINCT FROM b.lang AND p.source IS NOT DISTINCT FROM b.source AND p.metric = b.metric
+  WHERE b.b > greatest(q[2] + 3 * (q[2] - q[1]), CASE b.metric WHEN 1 THEN q[4] WHEN 2 THEN q[5] ELSE q[7] END)
+     OR b.metric = 1 AND b.b < least(q[1] - 3 * (q[2] - q[1]), q[3]))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND o.r IS NULL AS kept
 FROM m LEFT JOIN o USING (r)

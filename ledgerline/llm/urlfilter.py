@@ -88,18 +88,20 @@ class Cascade:
 
         Listed keys outside the universe are never looked up and so aren't encoded.
         """
-        inside = universe.join(listed, "key", "left_semi")
-        outside = universe.join(listed, "key", "left_anti")
+        inside = stash(universe.join(listed, "key", "left_semi"), "url-listed")
         levels: list[Level] = []
-        sets = [inside, outside]
         n = inside.count()
+        if n > MAX_LISTED:
+            raise ValueError(f"{n} keys are too many for a literal filter; judge() joins instead")
+        now = before = inside
         while n:
-            if n > MAX_LISTED:
-                raise ValueError(f"{n} keys are too many for a literal filter; judge() joins instead")
-            levels.append(Level.of(sets[0], len(levels), n, error))
-            wrong = sets[1].filter(levels[-1].has(F.col("key")))
-            sets = [wrong, sets[0]]
-            n = wrong.count()
+            levels.append(Level.of(now, len(levels), n, error))
+            if len(levels) == 1:  # the universe meets the filter first; only what it takes meets the list
+                wrong = universe.filter(levels[0].has(F.col("key"))).join(listed, "key", "left_anti")
+            else:
+                wrong = before.filter(levels[-1].has(F.col("key")))
+            before, now = now, stash(wrong, "url-wrong")
+            n = now.count()
         return Cascade(levels)
 
     def has(self, key: Column) -> Column:
@@ -120,9 +122,10 @@ def candidates(host: Column, path: Column, labels: list[int], lengths: list[int]
         for m in lengths:
             fits = (host != "") & (size >= n) & (F.length(path) >= m)
             found.append(F.when(fits, F.concat(suffix, F.substring(path, 1, m))))
+    host_size = lambda key: F.length(F.substring_index(key, "/", 1))
     return F.array_sort(
         F.filter(F.array(*found), lambda x: x.isNotNull()),
-        lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).otherwise(F.instr(b, "/") - F.instr(a, "/")),
+        lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).otherwise(host_size(b) - host_size(a)),
     )
 
 
