@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import decontam, langid, packing, simhash, suffixdedup
-from ledgerline.llm.common import stash
+from ledgerline.llm.common import tidy
 from ledgerline.llm.queries import word_tokenizer
 
 
@@ -20,7 +20,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id stays."""
+    """Of each group of near-duplicates (fingerprints linked at 3 bits) the document with the smallest doc_id stays."""
     return simhash.keep_one(docs)
 
 
@@ -52,7 +52,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The packed pieces. A stage's own tables go when its result is written, and that goes when the next stage's is."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = stash(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with tidy() as keep:
+            kept = keep(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if last is not None:
+            last.drop()
+        docs, last = kept.df, kept
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,5 +1,6 @@
 """The pipeline's stages against brute force, each on what its predecessor kept."""
 
+import os
 from collections import defaultdict
 
 import numpy as np
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerline.llm import langid, simhash
-from ledgerline.llm.common import stash
+from ledgerline.llm.common import _home, stash
 from ledgerline.llm.queries import word_tokenizer
 
 from .test_dedup_operators import brute_matches
@@ -29,6 +30,10 @@ def stages(spark):
     return seen
 
 
+def home(spark):
+    return _home(spark).removeprefix("file://")
+
+
 def table(df):
     return {r["doc_id"]: r for r in df.collect()}
 
@@ -84,7 +89,9 @@ def test_decontamination(spark, stages):
 def test_packing_and_run(spark, stages):
     docs = [(i, r["text"]) for i, r in table(stages[4][1]).items()]
     check_packing(stages[5][1].collect(), docs, 4096)
+    before = set(os.listdir(home(spark)))
     rows = corpus_pipeline.run(spark, SF).collect()
+    assert {n.rsplit("-", 1)[0] for n in set(os.listdir(home(spark))) - before} == {"pipeline-decontaminate", "pieces"}  # no stage leaves its own tables
     lengths = defaultdict(int)
     for r in rows:
         lengths[r["doc_id"]] += r["length"]
