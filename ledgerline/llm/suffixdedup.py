@@ -6,7 +6,7 @@ A byte is removed if a string of `LENGTH` (50) bytes that covers it also starts
    strings share anchors, so that a document has about one per 14 bytes, and equal strings have equal anchors. Anchor
    hashes are dealt to buckets, where those of more than one document are found.
 2. Refinement. Only runs of strings whose anchor is shared move on, as short contexts, to their anchor's bucket. There the
-   suffixes of the contexts are sorted by bucket-pointer refinement: initial buckets are 4-grams; a bucket of several suffixes is
+   suffixes of the contexts are sorted by bucket-pointer refinement: initial buckets are grams of five to eight bytes; a bucket of several suffixes is
    sorted by the bucket pointers that these have at its depth, and is split where they differ, which adds the pointers' own depth to it.
    Pointers are updated part by part of a pass, so that later parts use what earlier ones have just refined; a bucket of one
    suffix, or one refined to 50 bytes, is left alone. Neighbours in the final order are compared byte by byte: runs of equal strings of
@@ -52,8 +52,8 @@ HOME = 4 << 20
 BUCKET = 8 << 20
 HOMES = 4
 #: Bytes of contexts that are sorted at once, and that one anchor's group may have.
-SORT_BYTES = 1 << 20
-GROUP_BYTES = 960 << 10
+SORT_BYTES = 256 << 10
+GROUP_BYTES = 1792 << 10
 #: Bytes of contexts that a bucket may bring to one task.
 HEAVY = 48 << 20
 #: Anchors that meet before a task keeps one entry of each.
@@ -150,7 +150,8 @@ def _new(x: np.ndarray) -> np.ndarray:
 
 def _firsts(new: np.ndarray) -> np.ndarray:
     """For each place of a sorted array the place where its run begins."""
-    return np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    at = np.flatnonzero(new).astype(np.int32)
+    return np.repeat(at, np.diff(at, append=len(new)))
 
 
 def refine(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -163,13 +164,25 @@ def refine(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
     if not len(starts):
         return np.empty(0, np.int64)
     padded = np.concatenate((text, np.zeros(LENGTH + 8, text.dtype)))
-    packed = (grams(padded, 4)[:n] << np.uint64(21)) | np.arange(n, dtype=np.uint64)
+    held = np.flatnonzero(np.bincount(text, minlength=256))
+    code = np.zeros(256, np.uint64)
+    code[held] = np.arange(1, len(held) + 1)
+    bits = len(held).bit_length()
+    width = min(8, 42 // bits)  # characters of a first gram: as many as 42 bits hold
+    letters = code[padded]
+    letters[n:] = 0
+    packed = letters[:n].copy()
+    for k in range(1, width):
+        packed <<= np.uint64(bits)
+        packed |= letters[k : n + k]
+    packed <<= np.uint64(21)
+    packed |= np.arange(n, dtype=np.uint64)
     packed.sort()
-    alive = (packed & _PLACE).astype(np.int64)
+    alive = (packed & _PLACE).astype(np.int32)
     new = _new(packed >> np.uint64(21))
-    pointer = np.zeros(n + LENGTH + 32, np.int64)  # 0 behind the text; buckets count from 1
+    pointer = np.zeros(n + LENGTH + 32, np.int32)  # 0 behind the text; buckets count from 1
     pointer[alive] = _firsts(new) + 1
-    depth = np.full(n + 1, 4, np.int64)
+    depth = np.full(n + 1, width, np.int8)
     depth[0] = LENGTH  # what lies behind the text is all alike
     alive = alive[~new | ~np.concatenate((new[1:], [True]))]
     while len(alive):
@@ -180,25 +193,33 @@ def refine(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
             own = pointer[part]
             offset = depth[own]
             other = pointer[part + offset]
-            packed = (own.astype(np.uint64) << np.uint64(43)) | (other.astype(np.uint64) << np.uint64(21)) | np.arange(len(part), dtype=np.uint64)
+            packed = own.astype(np.uint64)
+            packed <<= np.uint64(22)
+            packed |= other.view(np.uint32)
+            packed <<= np.uint64(21)
+            packed |= np.arange(len(part), dtype=np.uint64)
             packed.sort()
-            order = (packed & _PLACE).astype(np.int64)
-            new = _new(packed >> np.uint64(21))
-            first, within = _firsts(new), _firsts(_new(packed >> np.uint64(43)))
-            part, own = part[order], own[order] + (first - within)
-            reached = (offset + depth[other])[order]
+            order = (packed & _PLACE).astype(np.int32)
+            packed >>= np.uint64(21)
+            new = _new(packed)
+            within = _firsts(_new(packed >> np.uint64(22)))
+            single = new & np.concatenate((new[1:], [True]))
+            part, own = part[order], own[order] + (_firsts(new) - within)
+            reached = np.minimum(offset + depth[other], LENGTH).astype(np.int8)[order]  # 2 * LENGTH at most, which 8 bits hold
             pointer[part] = own
             depth[own] = reached
-            left.append(part[(~new | ~np.concatenate((new[1:], [True]))) & (reached < LENGTH)])
+            left.append(part[~single & (reached < LENGTH)])
         alive = np.concatenate(left)
-    order = np.argsort(pointer[starts], kind="stable")
+    packed = (pointer[starts].astype(np.uint64) << np.uint64(21)) | np.arange(len(starts), dtype=np.uint64)
+    packed.sort()
+    order = (packed & _PLACE).astype(np.int32)
     at = starts[order]
     eight = grams(padded, 8)
-    new = np.zeros(len(at), bool)
-    new[:1] = True
+    new = _new(packed >> np.uint64(21))
+    open_ = np.flatnonzero(new[1:]) + 1  # other buckets than their neighbour's: told apart within 50 bytes, or only behind them?
     for k in (*range(0, LENGTH - 8, 8), LENGTH - 8):
-        x = eight[at + k]
-        new[1:] |= x[1:] != x[:-1]
+        open_ = open_[eight[at[open_] + k] == eight[at[open_ - 1] + k]]
+    new[open_] = False
     out = np.empty(len(starts), np.int64)
     out[order] = np.cumsum(new) - 1
     return out
@@ -356,7 +377,7 @@ def _shared(buckets: int, homes: int):
         def meet(held: tuple, fresh: list[tuple]) -> tuple[tuple, pa.RecordBatch]:
             """One entry of each anchor (anchor, row, whether its row is told), and what rows are told now."""
             g, row, told = (np.concatenate(x) for x in zip(held, *fresh))
-            order = np.argsort(g, kind="stable")
+            order = np.argsort(g)
             g, row, told = g[order], row[order], told[order]
             new = _new(g) if len(g) else np.empty(0, bool)
             many = ~new | np.r_[~new[1:], False]
