@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 
@@ -40,9 +40,9 @@ def end_offsets(batch: DataFrame) -> DataFrame:
     return batch.groupBy("partition").agg((F.max("offset") + 1).alias("end_offset"))
 
 
-def nearest_rank(values: DataFrame, column: str, ranks: dict[str, float]) -> DataFrame:
-    """One row with a nearest-rank percentile for each alias; 0 without samples."""
-    return values.agg(*(F.coalesce(F.expr(f"percentile_disc({q}) within group (order by {column})"), F.lit(0.0)).alias(a) for a, q in ranks.items()))
+def nearest_rank(values: DataFrame | GroupedData, column: str, ranks: dict[str, float], *more: Column) -> DataFrame:
+    """A nearest-rank percentile for each alias, in one row or one of each group; 0 without samples."""
+    return values.agg(*more, *(F.coalesce(F.expr(f"percentile_disc({q}) within group (order by {column})"), F.lit(0.0)).alias(a) for a, q in ranks.items()))
 
 
 def rate(samples: DataFrame, window: int) -> DataFrame:
@@ -98,8 +98,8 @@ def progress_offsets(progress: DataFrame, topic: str) -> DataFrame:
     return rows.select("id", "partition", F.expr("try_cast(_o as bigint)").alias("offset")).filter("offset is not null")
 
 
-def alert_intervals(samples: DataFrame, hold: int) -> DataFrame:
-    """samples: rule, t, active. Alerts of conditions that hold for `hold` seconds: rule, fired_at, resolved_at (null: live).
+def alert_intervals(samples: DataFrame) -> DataFrame:
+    """samples: rule, t, active, hold. Alerts of conditions that last for `hold` seconds, each rule its own: rule, fired_at, resolved_at (null: live).
 
     Gaps and islands: runs of active samples between inactive ones; a run fires at its first sample at least `hold` seconds after
     its start, is one alert until the next inactive sample, and resolves there. Each frame is read once: an inactive sample opens
@@ -108,22 +108,60 @@ def alert_intervals(samples: DataFrame, hold: int) -> DataFrame:
     off = ~F.col("active")
     told = samples.withColumn("_run", F.count(F.when(off, 1)).over(Window.partitionBy("rule").orderBy("t")))
     began = F.min(F.when(F.col("active"), F.col("t"))).over(Window.partitionBy("rule", "_run"))
-    held = told.withColumn("_held", F.col("active") & (F.col("t") - began >= hold))
+    held = told.withColumn("_held", F.col("active") & (F.col("t") - began >= F.col("hold")))
     runs = held.groupBy("rule", "_run").agg(F.min(F.when(F.col("_held"), F.col("t"))).alias("fired_at"), F.min(F.when(off, F.col("t"))).alias("_opened"))
     ended = runs.withColumn("resolved_at", F.lead("_opened").over(Window.partitionBy("rule").orderBy("_run")))
     return ended.filter("fired_at is not null").select("rule", "fired_at", "resolved_at")
 
 
+def state_changes(alerts: DataFrame) -> DataFrame:
+    """seq, rule, t, state: what happened to alerts, numbered in order of time (then rule and state), so that a client can ask for what it missed.
+
+    Alerts are few beside the samples they come from; their numbering is one sequence by nature.
+    """
+    moves = F.array(F.struct(F.col("fired_at").alias("t"), F.lit("firing").alias("state")), F.struct(F.col("resolved_at").alias("t"), F.lit("resolved").alias("state")))
+    each = alerts.select("rule", F.inline(moves)).filter("t is not null")
+    return each.select(F.row_number().over(Window.orderBy("t", "rule", "state")).cast("long").alias("seq"), "rule", "t", "state")
+
+
 def acknowledged(alerts: DataFrame, acks: DataFrame) -> DataFrame:
-    """alerts with acked_at, acked_by and state. acks: rule, t, actor. Only a live alert can be acknowledged, and only once: later acks and those of resolved alerts count for nothing."""
-    a = acks.select(F.col("rule").alias("_rule"), F.col("t").alias("_t"), "actor")
-    live = (F.col("rule") == F.col("_rule")) & (F.col("_t") >= F.col("fired_at")) & (F.col("resolved_at").isNull() | (F.col("_t") < F.col("resolved_at")))
-    first = alerts.join(a, live, "left").groupBy("rule", "fired_at", "resolved_at").agg(F.min(F.struct("_t", "actor")).alias("_a"))
-    at = F.col("_a._t")
+    """alerts with acked_at, acked_by and state. acks: rule, t, actor. Only a live alert can be acknowledged, and only once: later acks and those of resolved alerts count for nothing.
+
+    Alerts of a rule don't overlap, so an ack can only be of the last one that fired before it: one window over both, no pairs.
+    """
+    none = F.lit(None)
+    fired = alerts.select("rule", F.col("fired_at").alias("t"), F.lit(0).alias("_ack"), none.cast("string").alias("actor"), F.struct("fired_at", "resolved_at").alias("_own"))
+    told = acks.select("rule", "t", F.lit(1).alias("_ack"), "actor", none.cast(fired.schema["_own"].dataType).alias("_own"))
+    w = Window.partitionBy("rule").orderBy("t", "_ack").rowsBetween(Window.unboundedPreceding, 0)
+    both = fired.union(told).withColumn("_of", F.last("_own", ignorenulls=True).over(w)).filter("_of is not null")
+    live = (F.col("_ack") == 1) & (F.col("_of.resolved_at").isNull() | (F.col("t") < F.col("_of.resolved_at")))
+    first = both.groupBy("rule", F.col("_of.fired_at").alias("fired_at"), F.col("_of.resolved_at").alias("resolved_at")).agg(F.min(F.when(live, F.struct("t", "actor"))).alias("_a"))
+    at = F.col("_a.t")
     state = F.when(F.col("resolved_at").isNotNull(), "resolved").when(at.isNotNull(), "acknowledged").otherwise("firing")
     return first.select("rule", "fired_at", "resolved_at", at.alias("acked_at"), F.col("_a.actor").alias("acked_by"), state.alias("state"))
 
 
+def freshness_samples(samples: DataFrame, active_for: int = 60) -> DataFrame:
+    """samples: t, freshness, last_batch, caught_up. Those that tell of latency: a batch ended in the last `active_for` seconds, and records were waiting."""
+    recent = F.coalesce(F.col("t") - F.col("last_batch") <= active_for, F.lit(False))
+    return samples.filter(recent & ~F.coalesce(F.col("caught_up"), F.lit(False)))
+
+
+def latest_batch(events: DataFrame, by: list[str]) -> DataFrame:
+    """Of progress events (batch_id, committed_at, others) that with the greatest batch_id, the last of equal ones; for each `by`."""
+    rest = [c for c in events.columns if c not in by]
+    best = events.groupBy(*by).agg(F.max_by(F.struct(*rest), F.struct("batch_id", "committed_at")).alias("_e"))
+    return best.select(*by, *(F.col("_e")[c].alias(c) for c in rest))
+
+
+def source_health(polls: DataFrame, now: int) -> DataFrame:
+    """polls: source, t, error (null or empty: it answered). source, ok (its last poll), error, age_s (since it last answered; null: never)."""
+    fine = F.coalesce(F.col("error"), F.lit("")) == ""
+    last = F.max_by(F.coalesce(F.col("error"), F.lit("")), "t")
+    told = polls.groupBy("source").agg(last.alias("error"), F.max(F.when(fine, F.col("t"))).alias("_t"))
+    return told.select("source", (F.col("error") == "").alias("ok"), "error", (F.lit(now) - F.col("_t")).alias("age_s"))
+
+
 def exposition(gauges: dict[str, float], offsets: dict[str, int], prefix: str = "ledger") -> str:
     """Gauges and each partition's processed offset as text lines, in the form that metrics_text reads."""
     lines = [f"{prefix}_{name} {value:g}" for name, value in sorted(gauges.items())]

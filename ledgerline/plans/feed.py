@@ -7,7 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from .. import storage
 from ..functions.rules import judged
 from ..operators import dedup
 from ..schema import LEDGER_COLUMNS, MERCHANTS
@@ -43,7 +45,8 @@ FEED = {
 }
 
 
-def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as an expression over `events`; ids' hash is made once."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     hashed = events.selectExpr("*", *(f"{e} as {c}" for c, e in HASHED.items()))
     feed = hashed.selectExpr(*(f"{e} as {c}" for c, e in FEED.items()))
@@ -51,9 +54,24 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.withColumnsRenamed({"part": "partition", "off": "offset"}).withColumns(times)
 
 
+_stored: dict[tuple, tuple[str, StructType]] = {}
+
+
 def told(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed with `rejection_reason`."""
-    return judged(changes(spark, sf_dir), MERCHANTS)
+    """The feed with `rejection_reason`, derived once in an application: what all others are cut from, as a table in the shared folder."""
+    at, store = storage.file_system(spark, f"{sf_dir}/events.parquet")
+    source = store.getFileStatus(at)
+    key = (spark.sparkContext.applicationId, sf_dir, source.getModificationTime(), source.getLen())
+    if key not in _stored or not storage.exists(spark, _stored[key][0]):
+        rows, path = judged(derived(spark, sf_dir), MERCHANTS), storage.fresh_path(spark, "feed")
+        rows.write.parquet(path)
+        _stored[key] = (path, rows.schema)
+    path, schema = _stored[key]
+    return spark.read.schema(schema).parquet(path)
+
+
+def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return told(spark, sf_dir).drop("rejection_reason")
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:

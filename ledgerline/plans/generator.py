@@ -37,3 +37,8 @@ def workload(spark: SparkSession, operations: int, seed: int = 0, whale: bool =
         pick(["AUTHORIZATION", "CAPTURE", "REFUND", "CHARGEBACK"], F.lit("event"), own).alias("event_type"), at.alias("created_at"), at.alias("updated_at"),
         (1_000_000 + n).alias("lsn"), at.alias("source_ts"), (n % 3).cast("int").alias("partition"), n.alias("offset"), (op == "d").alias("is_delete"),
     )
+
+
+def sample(rows: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """n rows at random, or all if there are fewer: each partition's first n of a random order, then the first n of these."""
+    return rows.orderBy(F.rand(seed)).limit(n)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,17 +10,17 @@ from pyspark.sql import functions as F
 
 from ..functions import signals
 from ..functions.rules import validate
-from ..operators import aggregate, dedup, merge, parity
-from ..schema import LEDGER_COLUMNS, MERCHANTS
-from ..sources import dead_letters, envelope
-from . import feed
+from ..operators import aggregate, dedup, parity
+from ..schema import IMAGE, MERCHANTS
+from ..sources import avro, dead_letters, envelope
+from ..streaming import audit
+from . import feed, stored
+from .stored import NOW
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-#: A fixed present for signal queries: seconds, one commit a minute from here on.
-NOW = 1_700_000_000
 #: The columns that most results show.
 SHORT = ["transaction_id", "merchant_id", "amount_minor", "currency", "status", "event_type", "lsn", "is_delete"]
 _SHORT = ", ".join(SHORT)
@@ -174,15 +175,18 @@ def lake_stats(spark, sf_dir):
 
 @query(f"SELECT {_SHORT} FROM l WHERE transaction_id = (SELECT min(transaction_id) FROM l WHERE is_delete)")
 def point_lookup(spark, sf_dir):
-    rows = feed.ledger(spark, sf_dir)
-    one = rows.filter("is_delete").agg(F.min("transaction_id").alias("transaction_id"))
-    return rows.join(one, "transaction_id").select(*SHORT)
+    """From the stored table: the key's bucket alone is read, and a key with several rows raises."""
+    table = stored.table(spark, sf_dir)
+    key = table.read().filter("is_delete").agg(F.min("transaction_id")).first()[0]
+    if key is not None:
+        table.row(key)
+    return table.lookup(key or "").select(*SHORT)
 
 
-@query("SELECT transaction_id FROM d WHERE transaction_id IN (SELECT transaction_id FROM s)")
+@query(f"SELECT transaction_id FROM d WHERE transaction_id IN (SELECT transaction_id FROM s) AND regexp_full_match(transaction_id, '{dead_letters.ANY_UUID[1:-1]}')")
 def source_key_semi(spark, sf_dir):
     source, _, dead = _sides(spark, sf_dir)
-    return dead.join(source, "transaction_id", "left_semi")
+    return dead_letters.present(dead, source)
 
 
 # Snapshot, aggregates
@@ -277,40 +281,96 @@ def union_schema_versions(spark, sf_dir):
     return envelope.union_versions([rows.filter("event_id % 2 = 1"), rows.filter("event_id % 2 = 0").drop("currency")])
 
 
+def _writer_schema(more: list[dict]) -> str:
+    text = lambda n: {"name": n, "type": ["null", "string"], "default": None}
+    number = lambda n: {"name": n, "type": ["null", "long"], "default": None}
+    image = [number(f.name) if f.name == "amount_minor" else text(f.name) for f in IMAGE]
+    source = {"type": "record", "name": "Source", "fields": [number("lsn"), number("ts_ms")]}
+    row = {"type": "record", "name": "Row", "fields": [*image, *more]}
+    fields = [{"name": "before", "type": ["null", row]}, {"name": "after", "type": ["null", "Row"]}, {"name": "source", "type": ["null", source]}, text("op"), number("ts_ms")]
+    return json.dumps({"type": "record", "name": "Change", "fields": fields})
+
+
+#: Two versions of a writer's schema: the second has a field that readers ignore.
+WRITERS = {1: _writer_schema([]), 2: _writer_schema([{"name": "channel", "type": ["null", "string"], "default": None}])}
+
+
+class _Writers:
+    """A registry of these."""
+
+    @staticmethod
+    def by_id(schema_id: int) -> str:
+        return WRITERS[schema_id]
+
+
+_DECODED = f"SELECT {_SHORT}, part AS kafka_partition, off AS kafka_offset, CAST(floor(epoch(source_ts)) AS BIGINT) AS source_ts_s FROM f"
+
+
+@query(_DECODED)
+def decode_by_writer_schema(spark, sf_dir):
+    """Envelopes written in Avro by two schemas, each read by its own."""
+    built = envelope.build(feed.changes(spark, sf_dir))
+    wire = avro.encode(built, (1 + F.col("offset") % 2).cast("int"), WRITERS)
+    return envelope.flatten(avro.decode(wire, _Writers())).select(*SHORT, F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"), _seconds("source_ts"))
+
+
+@query(_DECODED)
+def decode_single_schema(spark, sf_dir):
+    built = envelope.build(feed.changes(spark, sf_dir))
+    flat = envelope.flatten(avro.decode_single(avro.encode(built, F.lit(1), WRITERS), WRITERS[1]))
+    return flat.select(*SHORT, F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"), _seconds("source_ts"))
+
+
 # Merge and change feed
 
 
 @query(f"SELECT {_SHORT} FROM v WHERE batch_id <= 1 QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY lsn DESC, batch_id, off DESC) = 1")
 def merge_upsert(spark, sf_dir):
-    rows = feed.valid(spark, sf_dir)
-    first = dedup.latest(rows.filter("batch_id = 0")).select(*LEDGER_COLUMNS)
-    return merge.merged(first, dedup.latest(rows.filter("batch_id = 1"))).select(*SHORT)
+    """The stored table as its second merge left it."""
+    return stored.table(spark, sf_dir).read(2).select(*SHORT)
 
 
-@query(", m AS (SELECT DISTINCT batch_id FROM v WHERE batch_id < 5) SELECT batch_id, batch_id IN (SELECT batch_id FROM m) AS committed FROM (SELECT DISTINCT batch_id FROM f)")
+@query("SELECT DISTINCT batch_id, batch_id < 5 AS committed FROM f")
 def ledger_probe(spark, sf_dir):
-    rows = feed.changes(spark, sf_dir).select("batch_id").distinct()
-    done = feed.valid(spark, sf_dir).filter("batch_id < 5").select(F.col("batch_id").alias("_done")).distinct()
-    return rows.join(done, F.col("batch_id") == F.col("_done"), "left").select("batch_id", F.col("_done").isNotNull().alias("committed"))
+    """What the stored batch ledger answers for each batch, one probe each."""
+    done = stored.ledger(spark, sf_dir)
+    asked = [r["batch_id"] for r in feed.changes(spark, sf_dir).select("batch_id").distinct().collect()]  # BATCHES at most
+    told = [(n, done.has(stored.APP, stored.QUERY, n)) for n in asked]
+    return spark.createDataFrame(told, "batch_id long, committed boolean")
+
+
+@query("SELECT DISTINCT batch_id, batch_id + 1 AS version FROM v")
+def recorded_batches(spark, sf_dir):
+    """The batches that the table's own log has, whether or not they reached the batch ledger."""
+    log = stored.table(spark, sf_dir).log()
+    return spark.createDataFrame([(m["batch"][2], m["version"]) for m in log if m["batch"]], "batch_id long, version long")
 
 
 @query("SELECT transaction_id, amount_minor, lsn, is_delete, change_type, commit_version FROM c WHERE commit_version >= 3")
 def cdf_by_version(spark, sf_dir):
-    images = dedup.change_feed(feed.valid(spark, sf_dir)).filter("_commit_version >= 3")
+    images = stored.table(spark, sf_dir).change_feed(first=3)
     return images.select("transaction_id", "amount_minor", "lsn", "is_delete", F.col("_change_type").alias("change_type"), F.col("_commit_version").alias("commit_version"))
 
 
-def _stamped(spark, sf_dir) -> DataFrame:
-    """The change feed with one commit a minute, the last one at NOW - 30."""
-    return dedup.change_feed(feed.valid(spark, sf_dir)).withColumn("t", F.lit(NOW - 30) - 60 * (F.lit(9) - F.col("_commit_version")))
+_STAMPED = f", ct AS (SELECT *, {NOW - 30} - 60 * (9 - commit_version) AS t FROM c)"
 
 
-_STAMPED = f", ct AS (SELECT *, {NOW - 30} - 60 * (9 - commit_version) AS t FROM c)"
+def _stamped(spark, sf_dir) -> DataFrame:
+    """The stored table's change feed with commit times."""
+    return stored.table(spark, sf_dir).change_feed().withColumnRenamed("_commit_timestamp", "t")
 
 
 @query(_STAMPED + f" SELECT change_type, count(*) AS n FROM ct WHERE t >= {NOW} - 240 GROUP BY 1")
 def cdf_window_counts(spark, sf_dir):
-    return _stamped(spark, sf_dir).filter(F.col("t") >= NOW - 240).groupBy(F.col("_change_type").alias("change_type")).agg(F.count(F.lit(1)).alias("n"))
+    images = stored.table(spark, sf_dir).change_feed(since=NOW - 240)
+    return images.groupBy(F.col("_change_type").alias("change_type")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_STAMPED + " SELECT commit_version, t AS committed_at, count(*) FILTER (change_type = 'insert') AS inserted, count(*) FILTER (change_type = 'update_postimage') AS updated FROM ct GROUP BY ALL")
+def table_history(spark, sf_dir):
+    rows = stored.table(spark, sf_dir).history().filter(F.col("version") <= stored.BATCHES)
+    counts = F.from_json("counts", "inserted long, updated long")
+    return rows.select(F.col("version").alias("commit_version"), "committed_at", counts["inserted"].alias("inserted"), counts["updated"].alias("updated"))
 
 
 @query("SELECT event_id, part AS kafka_partition, off AS kafka_offset FROM f WHERE part = 0 AND off >= 100 AND off < 200000 OR part = 1 AND off >= 50000 AND off < 400000")
@@ -324,11 +384,10 @@ def replay_range_scan(spark, sf_dir):
 
 @query("SELECT count(*) AS n_rows, CAST(coalesce(sum(amount_minor), 0) AS BIGINT) AS total_minor, CAST(0 AS BIGINT) AS changed FROM k")
 def replay_noop_digest(spark, sf_dir):
-    """The whole log merged once more as one batch: what changes, and the digest after it."""
-    rows = feed.valid(spark, sf_dir)
-    after = merge.merged(dedup.closed_form(rows), dedup.latest(rows))
-    live = ~F.col("is_delete")
-    return after.agg(F.count_if(live).alias("n_rows"), F.coalesce(F.sum(F.when(live, F.col("amount_minor"))), F.lit(0)).alias("total_minor"), F.count_if(F.col("_change") != "kept").alias("changed"))
+    """The whole log merged once more into the stored table, as one batch: what changes, and the digest after it."""
+    table = stored.table(spark, sf_dir)
+    counts = table.merge(dedup.latest(feed.valid(spark, sf_dir)), now=NOW - 30)
+    return aggregate.digest(parity.live(table.read())).withColumn("changed", F.lit(counts["inserted"] + counts["updated"]).cast("long"))
 
 
 @query("SELECT count(*) AS n FROM f WHERE transaction_id IS NULL AND batch_id >= 4")
@@ -346,7 +405,7 @@ def throughput_windows(spark, sf_dir):
 
 
 @query(_STAMPED + _THROUGHPUT + """
-, st AS (SELECT recent, recent / 240.0::DOUBLE AS r, baseline / 240.0::DOUBLE AS b, (SELECT count(*) FROM x) AS dlq, 0 AS nulls FROM tw),
+, st AS (SELECT recent, recent / 240.0::DOUBLE AS r, baseline / 240.0::DOUBLE AS b, (SELECT count(*) FROM x) AS dlq, (SELECT count(*) FROM f WHERE transaction_id IS NULL) AS nulls FROM tw),
 vd AS (SELECT
   CASE WHEN recent = 0 THEN 'skipped' WHEN dlq / greatest(recent, 1) >= 0.001 THEN 'alert' ELSE 'ok' END AS dlq_verdict,
   CASE WHEN b < 0.1 THEN 'skipped' WHEN r BETWEEN b * 0.5 AND b * 1.5 THEN 'ok' WHEN recent > 50 THEN 'alert' ELSE 'skipped' END AS throughput_verdict,
@@ -356,7 +415,7 @@ def trend_verdicts(spark, sf_dir):
     images = _stamped(spark, sf_dir)
     stats = aggregate.throughput(images, NOW, 240)
     dead = feed.rejected(spark, sf_dir).agg(F.count(F.lit(1)).alias("dlq"))
-    nulls = images.agg(F.count_if(F.col("transaction_id").isNull()).alias("nulls"))
+    nulls = feed.changes(spark, sf_dir).agg(F.count_if(F.col("transaction_id").isNull()).alias("nulls"))
     return aggregate.trend_verdicts(stats.join(dead, F.lit(True)).join(nulls, F.lit(True)))  # one row each
 
 
@@ -414,6 +473,22 @@ def dlq_page(spark, sf_dir):
     return rows.select(F.col("offset").alias("kafka_offset"), "transaction_id", "lsn", "next_cursor")
 
 
+@query("""
+, ms AS (SELECT off, transaction_id, lsn FROM x), hi AS (SELECT max(off) + 1 AS e FROM ms),
+sc AS (SELECT * FROM ms WHERE off >= 300000 ORDER BY off LIMIT 40)
+SELECT off AS kafka_offset, coalesce(transaction_id, 'none') AS transaction_id, lsn, (SELECT max(off) + 1 FROM sc) AS next, (SELECT e FROM hi) AS "end" FROM sc""")
+def dlq_scan(spark, sf_dir):
+    """A range of the dead-letter log, parsed, with where to go on and the log's end."""
+    sent = feed.rejected(spark, sf_dir).select("offset", F.lit("none").alias("key"), F.to_json(F.struct("transaction_id", "lsn")).alias("value"))
+    rows = dead_letters.scan(sent, 300_000, 40)
+    return rows.select(F.col("offset").alias("kafka_offset"), "transaction_id", "lsn", "next", "end")
+
+
+@query("SELECT min(off) AS low, max(off) + 1 AS high, max(off) + 1 - min(off) AS messages FROM x")
+def dlq_watermarks(spark, sf_dir):
+    return dead_letters.watermarks(feed.rejected(spark, sf_dir))
+
+
 #: Today's rules of the revalidation: two more merchants are known.
 _MORE = ["MERCH_021", "MERCH_022"]
 _REVALID = """, rv AS (SELECT *, concat_ws(',',
@@ -453,6 +528,24 @@ def batch_progress(spark, sf_dir):
     )
 
 
+@query("""SELECT part AS kafka_partition, batch_id, count(*) AS input_rows, max(off) + 1 AS processed FROM f GROUP BY 1, 2
+  QUALIFY row_number() OVER (PARTITION BY part ORDER BY batch_id DESC) = 1""")
+def latest_batch(spark, sf_dir):
+    """Of each partition's progress events the one of the greatest batch."""
+    events = feed.changes(spark, sf_dir).groupBy("batch_id", F.col("partition").alias("kafka_partition")).agg(F.count(F.lit(1)).alias("input_rows"), (F.max("offset") + 1).alias("processed"))
+    return signals.latest_batch(events.withColumn("committed_at", F.col("batch_id")), ["kafka_partition"]).drop("committed_at")
+
+
+@query("""SELECT 's' || user_id % 6 AS source, arg_max(CASE WHEN event_id % 7 = 0 THEN 'timeout' WHEN user_id % 6 = 5 THEN 'refused' ELSE '' END, event_id) = '' AS ok,
+  arg_max(CASE WHEN event_id % 7 = 0 THEN 'timeout' WHEN user_id % 6 = 5 THEN 'refused' ELSE '' END, event_id) AS error,
+  10000000 - max(event_id) FILTER (event_id % 7 <> 0 AND user_id % 6 <> 5) AS age_s FROM events GROUP BY user_id % 6""")
+def source_health(spark, sf_dir):
+    """Polls of six sources, one of which never answers."""
+    error = F.when(F.col("event_id") % 7 == 0, "timeout").when(F.col("user_id") % 6 == 5, "refused")
+    polls = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.concat(F.lit("s"), (F.col("user_id") % 6).cast("string")).alias("source"), F.col("event_id").alias("t"), error.alias("error"))
+    return signals.source_health(polls, 10_000_000)
+
+
 @query("SELECT part AS kafka_partition, max(off) + 1 AS processed FROM f WHERE batch_id < 5 GROUP BY 1")
 def processed_offsets(spark, sf_dir):
     """From progress events, one per batch and partition: the highest of each partition."""
@@ -543,10 +636,14 @@ def freshness(spark, sf_dir):
     return each.select("batch_id", F.greatest(F.col("now") - F.col("m"), F.lit(0)).alias("freshness_s"))
 
 
-@query("SELECT coalesce(quantile_disc(value, 0.5), 0) AS p50, coalesce(quantile_disc(value, 0.95), 0) AS p95 FROM events WHERE event_id >= 400 AND event_id <= 700")
+@query("""SELECT event_id // 60 AS minute, count(*) AS samples, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95
+  FROM events WHERE event_id % 90 <= 60 AND event_id % 8 <> 0 GROUP BY 1""")
 def freshness_percentiles(spark, sf_dir):
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet").filter("event_id between 400 and 700")
-    return signals.nearest_rank(rows, "value", {"p50": 0.5, "p95": 0.95})
+    """Over the whole table, minute by minute: of the samples that tell of latency, the nearest-rank percentiles."""
+    n = F.col("event_id")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(n.alias("t"), F.col("value").alias("freshness"), (n - n % 90).alias("last_batch"), (n % 8 == 0).alias("caught_up"))
+    told = signals.freshness_samples(rows).withColumn("minute", F.expr("t div 60"))
+    return signals.nearest_rank(told.groupBy("minute"), "freshness", {"p50": 0.5, "p95": 0.95}, F.count(F.lit(1)).alias("samples"))
 
 
 @query(_SAMPLES + f" SELECT series, t, count(*) {_W.format(100)} AS n FROM sm")
@@ -601,33 +698,33 @@ def connector_state(spark, sf_dir):
 
 # Alerts and paging
 
-#: Name: condition over a snapshot row (lag, state, freshness, caught_up, growth, parity).
+#: Name: condition over a snapshot row (lag, state, freshness, caught_up, growth, parity), and the seconds for which it must hold.
 RULES = {
-    "consumer_lag_high": "lag > 1000",
-    "connector_not_running": "state <> '' and state <> 'RUNNING'",
-    "freshness_high": "not caught_up and freshness > 120",
-    "dlq_growth": "growth >= 5",
-    "parity_mismatch": "parity = 'mismatch'",
+    "consumer_lag_high": ("lag > 1000", 30),
+    "connector_not_running": ("state <> '' and state <> 'RUNNING'", 10),
+    "freshness_high": ("not caught_up and freshness > 120", 30),
+    "dlq_growth": ("growth >= 5", 0),
+    "parity_mismatch": ("parity = 'mismatch'", 0),
 }
 SNAPSHOT = {
     "t": "event_id",
     "series": "user_id % 4",
-    "lag": "(event_id * 37) % 1500",
-    "state": "case when event_id % 9 < 2 then 'PAUSED' else 'RUNNING' end",
-    "freshness": "(event_id * 13) % 200",
-    "caught_up": "event_id % 8 = 0",
+    "lag": "(event_id * 7) % 1500",
+    "state": "case when event_id % 90 < 25 then 'PAUSED' when event_id % 90 between 40 and 45 then 'FAILED' else 'RUNNING' end",
+    "freshness": "(event_id * 2) % 200",
+    "caught_up": "event_id % 700 < 200",
     "growth": "(event_id * 11) % 9",
     "parity": "case when event_id % 31 = 0 then 'mismatch' else 'in_sync' end",
 }
 _SNAP = ", sn AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in SNAPSHOT.items()) + " FROM events)"
-_ACTIVE = ", ac AS (" + " UNION ALL ".join(f"SELECT '{r}-' || series AS rule, t, {e} AS active FROM sn" for r, e in RULES.items()) + ")"
+_ACTIVE = ", ac AS (" + " UNION ALL ".join(f"SELECT '{r}-' || series AS rule, t, {e} AS active, {hold} AS hold FROM sn" for r, (e, hold) in RULES.items()) + ")"
 
 
 def _evaluated(spark, sf_dir) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*(f"{e} as {c}" for c, e in SNAPSHOT.items()))
-    rules = F.array(*(F.struct(F.lit(r).alias("rule"), F.expr(e).alias("active")) for r, e in RULES.items()))
+    rules = F.array(*(F.struct(F.lit(r).alias("rule"), F.expr(e).alias("active"), F.lit(hold).alias("hold")) for r, (e, hold) in RULES.items()))
     each = rows.select("series", "t", F.inline(rules))
-    return each.select(F.concat("rule", F.lit("-"), F.col("series").cast("string")).alias("rule"), "t", "active")
+    return each.select(F.concat("rule", F.lit("-"), F.col("series").cast("string")).alias("rule"), "t", "active", "hold")
 
 
 @query(_SNAP + _ACTIVE + " SELECT rule, count(*) AS samples, count(*) FILTER (active) AS active FROM ac GROUP BY 1")
@@ -639,20 +736,19 @@ _ALERTS = _SNAP + _ACTIVE + """
 , g AS (SELECT *, count(*) FILTER (NOT active) OVER (PARTITION BY rule ORDER BY t) AS run,
          min(CASE WHEN NOT active THEN t END) OVER (PARTITION BY rule ORDER BY t ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS off FROM ac),
 h AS (SELECT *, min(t) OVER (PARTITION BY rule, run) AS began FROM g WHERE active),
-al AS (SELECT rule, min(t) AS fired_at, min(off) AS resolved_at FROM h WHERE t - began >= 4 GROUP BY rule, run)"""
+al AS (SELECT rule, min(t) AS fired_at, min(off) AS resolved_at FROM h WHERE t - began >= hold GROUP BY rule, run)"""
 
 
 @query(_ALERTS + " SELECT * FROM al")
 def alert_intervals(spark, sf_dir):
-    return signals.alert_intervals(_evaluated(spark, sf_dir), 4)
+    return signals.alert_intervals(_evaluated(spark, sf_dir))
 
 
-@query(_ALERTS + " SELECT rule, fired_at AS t, 'firing' AS state FROM al WHERE fired_at > 500 UNION ALL SELECT rule, resolved_at, 'resolved' FROM al WHERE resolved_at > 500")
+@query(_ALERTS + """, mv AS (SELECT rule, fired_at AS t, 'firing' AS state FROM al UNION ALL SELECT rule, resolved_at, 'resolved' FROM al WHERE resolved_at IS NOT NULL),
+nm AS (SELECT row_number() OVER (ORDER BY t, rule, state) AS seq, * FROM mv) SELECT * FROM nm WHERE seq > 20""")
 def alerts_since_seq(spark, sf_dir):
     """State changes after a sequence number that a client has seen."""
-    alerts = signals.alert_intervals(_evaluated(spark, sf_dir), 4)
-    moves = F.array(F.struct(F.col("fired_at").alias("t"), F.lit("firing").alias("state")), F.struct(F.col("resolved_at").alias("t"), F.lit("resolved").alias("state")))
-    return alerts.select("rule", F.inline(moves)).filter("t > 500")
+    return signals.state_changes(signals.alert_intervals(_evaluated(spark, sf_dir))).filter("seq > 20")
 
 
 @query(_ALERTS + """, ck AS (SELECT rule, t, 'op' || t % 3 AS actor FROM ac WHERE active AND t % 7 = 0),
@@ -662,19 +758,13 @@ def alert_states(spark, sf_dir):
     """Alerts with the first acknowledgement that came while they were live."""
     rows = _evaluated(spark, sf_dir)
     acks = rows.filter("active and t % 7 = 0").select("rule", "t", F.concat(F.lit("op"), (F.col("t") % 3).cast("string")).alias("actor"))
-    return signals.acknowledged(signals.alert_intervals(rows, 4), acks)
+    return signals.acknowledged(signals.alert_intervals(rows), acks)
 
 
 @query("""
 , au AS (SELECT event_id AS id, user_id AS actor, event_type AS action FROM events WHERE event_id < 900 ORDER BY event_id DESC LIMIT 21),
 ra AS (SELECT *, row_number() OVER (ORDER BY id DESC) AS n FROM au)
-SELECT id, actor, action, (SELECT count(*) FROM ra) = 21 AS has_more FROM ra WHERE n <= 20""")
+SELECT id, actor, action, CASE WHEN (SELECT count(*) FROM ra) = 21 THEN (SELECT id FROM ra WHERE n = 20) ELSE 0 END AS next_cursor FROM ra WHERE n <= 20""")
 def audit_page(spark, sf_dir):
-    """Newest first, below a cursor; one row more than the page tells whether there are others."""
-    from pyspark.sql import Window
-
     log = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("id"), F.col("user_id").alias("actor"), F.col("event_type").alias("action"))
-    ahead = log.filter("id < 900").orderBy(F.col("id").desc()).limit(21)
-    w = Window.orderBy(F.col("id").desc())
-    told = ahead.withColumn("n", F.row_number().over(w)).withColumn("has_more", F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) == 21)
-    return told.filter("n <= 20").drop("n")
+    return audit.page(log, 900, 20)

@@ -9,9 +9,10 @@ from collections.abc import Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..schema import ENVELOPE
 from . import envelope
@@ -149,10 +150,18 @@ class Codec:
 
 
 def _project(value: Any, to: StructType) -> Any:
-    """The fields that the target schema names; others are ignored, absent ones are null."""
+    """The fields that the target schema names; others are ignored, absent ones are null. Values of another type are an error."""
     if value is None:
         return None
-    return {f.name: _project(value.get(f.name), f.dataType) if isinstance(f.dataType, StructType) else value.get(f.name) for f in to}
+    out = {}
+    for f in to:
+        x = value.get(f.name)
+        if x is not None and not isinstance(f.dataType, StructType):
+            wanted = int if isinstance(f.dataType, LongType) else str
+            if not isinstance(x, wanted) or isinstance(x, bool):
+                raise TypeError(f"{f.name} is {type(x).__name__}")
+        out[f.name] = _project(x, f.dataType) if isinstance(f.dataType, StructType) else x
+    return out
 
 
 def decode(raw: DataFrame, registry: SchemaRegistry) -> DataFrame:
@@ -164,7 +173,17 @@ def decode(raw: DataFrame, registry: SchemaRegistry) -> DataFrame:
     ident, payload = envelope.header(F.col("value"))
     split = raw.filter("value is not null").select(ident.alias("_id"), payload.alias("_body"), "partition", "offset")
     ids = [r["_id"] for r in split.select("_id").distinct().collect() if r["_id"] is not None]
-    schemas = {i: registry.by_id(i) for i in ids}
+    return _decoded(split, {i: registry.by_id(i) for i in ids})
+
+
+def decode_single(raw: DataFrame, schema: str) -> DataFrame:
+    """The same with one schema for all values, whatever their headers say."""
+    _, payload = envelope.header(F.col("value"))
+    return _decoded(raw.filter("value is not null").select(F.lit(0).alias("_id"), payload.alias("_body"), "partition", "offset"), {0: schema})
+
+
+def _decoded(split: DataFrame, schemas: dict[int, str]) -> DataFrame:
+    kind = to_arrow_type(ENVELOPE)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codecs = {i: Codec(s) for i, s in schemas.items()}
@@ -172,10 +191,22 @@ def decode(raw: DataFrame, registry: SchemaRegistry) -> DataFrame:
             found = []
             for i, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 try:
-                    found.append(json.dumps(_project(codecs[i].read(io.BytesIO(body)), ENVELOPE)))
+                    found.append(_project(codecs[i].read(io.BytesIO(body)), ENVELOPE))
                 except (KeyError, EOFError, ValueError, IndexError, TypeError, AttributeError):
-                    found.append("{}")
-            yield pa.record_batch([pa.array(found, pa.string()), batch.column(2), batch.column(3)], names=["j", "partition", "offset"])
+                    found.append({})
+            yield pa.record_batch([pa.array(found, kind), batch.column(2), batch.column(3)], names=["e", "partition", "offset"])
+
+    return split.mapInArrow(run, StructType([StructField("e", ENVELOPE), StructField("partition", IntegerType()), StructField("offset", LongType())]))
+
+
+def encode(enveloped: DataFrame, schema_id: Column, schemas: dict[int, str]) -> DataFrame:
+    """`e`, partition, offset to wire values, each by the schema of its id."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codecs = {i: Codec(s) for i, s in schemas.items()}
+        for batch in batches:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            wire = [b"\0" + i.to_bytes(4, "big") + codecs[i].write(e) for e, i in rows]
+            yield pa.record_batch([pa.array(wire, pa.binary()), batch.column(2), batch.column(3)], names=["value", "partition", "offset"])
 
-    rows = split.mapInArrow(run, "j string, partition int, offset long")
-    return rows.select(F.from_json("j", ENVELOPE).alias("e"), "partition", "offset")
+    return enveloped.select("e", schema_id.alias("_id"), "partition", "offset").mapInArrow(run, "value binary, partition int, offset long")

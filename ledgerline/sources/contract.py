@@ -1,12 +1,15 @@
 """Schema contract: can readers of a proposed schema read what the present one wrote (BACKWARD)?
 
 The verdict is Avro's own, by the library that Spark ships; the explanation names records and fields.
-Exit codes: 0 compatible, 1 breaking, 2 no verdict (fails closed).
+Exit codes: 0 compatible, 1 breaking, 2 no verdict (fails closed). As a command:
+
+    python -m ledgerline.sources.contract (<present.avsc> | --registry <folder> --subject <name>) <proposed.avsc>
 """
 
 from __future__ import annotations
 
 import json
+import sys
 
 COMPATIBLE, BREAKING, UNDECIDED = 0, 1, 2
 
@@ -87,3 +90,33 @@ def check_latest(spark, registry, subject: str, reader: str) -> tuple[int, list[
     except Exception as why:
         return UNDECIDED, [f"the registry gave no schema: {why}"]
     return check(spark, writer, reader)
+
+
+def main(args: list[str], spark=None) -> int:
+    """The command: tells the verdict and why, and returns the exit code."""
+    import argparse
+
+    from .registry import FolderRegistry
+
+    parser = argparse.ArgumentParser(prog="contract")
+    parser.add_argument("--registry")
+    parser.add_argument("--subject")
+    parser.add_argument("schemas", nargs="+")
+    try:
+        told = parser.parse_args(args)
+        if bool(told.registry) != bool(told.subject) or len(told.schemas) != (1 if told.registry else 2):
+            raise ValueError("give two schemas, or a registry, a subject and one schema")
+        texts = [open(path, encoding="utf-8").read() for path in told.schemas]  # noqa: SIM115
+        if spark is None:
+            from ..session import build
+
+            spark = build("contract", "local[1]")
+        code, why = check_latest(spark, FolderRegistry(told.registry), told.subject, texts[0]) if told.registry else check(spark, *texts)
+    except (OSError, ValueError, SystemExit) as problem:
+        code, why = UNDECIDED, [str(problem)]
+    print({COMPATIBLE: "compatible", BREAKING: "breaking", UNDECIDED: "no verdict"}[code], *why, sep="\n  ")
+    return code
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv[1:]))

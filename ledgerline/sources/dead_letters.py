@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,14 +53,49 @@ def collapsed(letters: DataFrame) -> DataFrame:
 
 
 def open_counts(letters: DataFrame, lake: DataFrame, source: DataFrame) -> DataFrame:
-    """messages, open (distinct id and lsn) and missing: ids that the source has and the lake doesn't."""
-    waiting = open_letters(letters, lake)
-    lost = missing_open(letters, lake, source)
-    return (
-        letters.agg(F.count(F.lit(1)).alias("messages"))
-        .join(waiting.select("transaction_id", "lsn").distinct().agg(F.count(F.lit(1)).alias("open")), F.lit(True))
-        .join(lost.agg(F.count(F.lit(1)).alias("missing")), F.lit(True))
+    """messages, open (distinct id and lsn) and missing: ids that the source has and the lake doesn't.
+
+    Each side is read once: letters are counted by id and lsn, meet the lake's and the source's rows of their id, and are counted again.
+    """
+    each = letters.groupBy("transaction_id", "lsn").agg(F.count(F.lit(1)).alias("_n"))
+    held = lake.select(F.col("transaction_id").alias("_id"), F.col("lsn").alias("_held")).groupBy("_id").agg(F.max("_held").alias("_held"), F.lit(True).alias("_known"))
+    there = source.select(F.col("transaction_id").alias("_own")).filter("_own is not null").distinct()
+    told = each.join(held, F.col("transaction_id") == F.col("_id"), "left").join(there, F.col("transaction_id") == F.col("_own"), "left")
+    waiting = F.col("_held").isNull() | (F.col("_held") < F.col("lsn"))
+    by_id = told.groupBy("transaction_id").agg(
+        F.sum("_n").alias("_n"), F.count_if(waiting).alias("_open"), F.max(F.when(waiting & F.col("_held").isNull() & F.col("_own").isNotNull(), 1).otherwise(0)).alias("_lost")
     )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return by_id.agg(total("_n").alias("messages"), total("_open").alias("open"), total("_lost").alias("missing"))
+
+
+#: Fixed value: ids that a source of UUIDs can be asked for, of any version and case.
+ANY_UUID = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+
+
+def present(ids: DataFrame, source: DataFrame) -> DataFrame:
+    """Those of the ids that the source has; malformed ones aren't asked for."""
+    return ids.filter(F.col("transaction_id").rlike(ANY_UUID)).join(source.select("transaction_id"), "transaction_id", "left_semi")
+
+
+def watermarks(messages: DataFrame) -> DataFrame:
+    """One row: low (the first offset), high (behind the last) and their distance; an empty log has zeros."""
+    ends = messages.agg(F.coalesce(F.min("offset"), F.lit(0)).alias("low"), F.coalesce(F.max("offset") + 1, F.lit(0)).alias("high"))
+    return ends.withColumn("messages", F.col("high") - F.col("low"))
+
+
+def get(messages: DataFrame, offset: int) -> DataFrame:
+    """The parsed message at an offset, if it is there."""
+    return parse(messages.filter(F.col("offset") == offset))
+
+
+def scan(messages: DataFrame, start: int, most: int) -> DataFrame:
+    """The first `most` parsed messages from an offset on, with `next` (where to go on; the end, if none is left) and `end`."""
+    ends = watermarks(messages).select(F.col("high").alias("end"))  # one row
+    ahead = messages.filter(F.col("offset") >= start).orderBy("offset").limit(most)
+    last = ahead.agg((F.max("offset") + 1).alias("_next"))
+    told = parse(ahead).join(F.broadcast(last), F.lit(True)).join(F.broadcast(ends), F.lit(True))
+    return told.withColumn("next", F.coalesce("_next", "end")).drop("_next")
 
 
 def missing_open(letters: DataFrame, lake: DataFrame, source: DataFrame) -> DataFrame:
@@ -68,6 +105,9 @@ def missing_open(letters: DataFrame, lake: DataFrame, source: DataFrame) -> Data
 
 
 def with_reason(letters: DataFrame, part: str) -> DataFrame:
+    """Letters whose reasons contain a part, whatever its case; parts that no reason can contain are an error."""
+    if not re.fullmatch("[A-Z_,]{0,64}", part.upper()):
+        raise ValueError(f"not a part of a reason: {part!r}")
     return letters.filter(F.col("rejection_reason").contains(part.upper()))
 
 

@@ -69,7 +69,8 @@ class Replayer:
     poll: float = 1
     clock: Callable[[], float] = time.monotonic
     sleep: Callable[[float], None] = time.sleep
-    keys: Idempotency = field(default_factory=Idempotency)
+    keys: Idempotency = field(default_factory=Idempotency)  # or audit.DurableKeys, which a restart keeps
+    audit: Callable[..., object] | None = None  # told of each replay: audit.AuditLog.add
 
     def replay(self, ident: str, actor: str = "", key: str = "") -> Outcome:
         if key:
@@ -85,9 +86,12 @@ class Replayer:
         finally:
             if key:
                 self.keys.end(actor, key, outcome)
+            if self.audit is not None:
+                told = outcome or Outcome("FAILED")
+                self.audit(actor, "replay", ident, told.status, "" if told.status == APPLIED else told.detail, key, {"lake_lsn": told.lake_lsn})
 
     def _lsn(self, transaction_id: str) -> int | None:
-        row = self.table.lookup(transaction_id).select("lsn").first()
+        row = self.table.row(transaction_id)
         return row["lsn"] if row else None
 
     def _replay(self, ident: str) -> Outcome:

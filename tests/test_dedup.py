@@ -46,6 +46,14 @@ def test_merge_cases(spark):
     }
 
 
+def test_rows_without_a_key_stay(spark):
+    schema = "transaction_id string, lsn long, is_delete boolean"
+    target = spark.createDataFrame([(None, 5, False), ("x", 1, None)], schema)
+    staged = spark.createDataFrame([(None, 9, True), ("x", 2, False)], schema)
+    got = sorted(map(tuple, merged(target, staged).collect()), key=str)
+    assert got == sorted([(None, 5, False, "kept"), (None, 9, True, "insert"), ("x", 2, False, "update")], key=str)
+
+
 def test_fold_equals_closed_form(spark):
     valid = feed.valid(spark, "/root/testdata/sf0.001").persist()
     batches = sorted(r[0] for r in valid.select("batch_id").distinct().collect())

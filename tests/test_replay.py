@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.rules import validate
 from ledgerline.operators import aggregate
-from ledgerline.plans.generator import workload
+from ledgerline.plans.generator import sample, workload
 from ledgerline.schema import MERCHANTS
 from ledgerline.sources import dead_letters, envelope
+from ledgerline.streaming.audit import AuditLog, DurableKeys
 from ledgerline.streaming.job import LedgerJob, ReferenceSet, read_log
 from ledgerline.streaming.progress import LakeStats, ProgressLog
 from ledgerline.streaming.replay import Idempotency, Outcome, Replayer
@@ -27,14 +28,17 @@ def test_replay_states(spark, tmp_path):
             j.process(log, len(sent))
 
     told = ["MERCH_019"]
-    r = Replayer(spark, j.table, letters, lambda: told, publish, wait=0, sleep=lambda s: None)
+    log = AuditLog(spark, str(tmp_path / "audit"))
+    r = Replayer(spark, j.table, letters, lambda: told, publish, wait=0, sleep=lambda s: None, keys=DurableKeys(spark, str(tmp_path / "keys")), audit=log.add)
     assert [r.replay(x).status for x in ("", "abc", "-4", "99")] == ["NOT_FOUND"] * 4
     assert r.replay("1").status == "STILL_INVALID" and not sent
     assert r.replay("0", "me", "k").status == "PENDING" and len(sent) == 1  # published; the pipeline doesn't know the merchant yet
     known.add("MERCH_019")
     got = r.replay("0", "me", "k")
     assert (got.status, got.lake_lsn, len(sent)) == ("APPLIED", 1_000_000, 2)
-    assert r.replay("0", "me", "k") is got and r.replay("0").status == "ALREADY_APPLIED" and len(sent) == 2
+    assert r.replay("0", "me", "k") == got and r.replay("0").status == "ALREADY_APPLIED" and len(sent) == 2
+    entries = log.read().filter("idempotency_key = 'k'").orderBy("id").collect()
+    assert [(e["actor"], e["target"], e["result"]) for e in entries] == [("me", "0", "PENDING"), ("me", "0", "APPLIED")]
     stats = LakeStats(j.table)
     assert stats.get()["live"] == 1 and stats.get() is stats.get()
 
@@ -53,6 +57,41 @@ def test_idempotency_keys():
     assert keys.begin("b", "k", "z")[0] == "fresh"
 
 
+def test_keys_outlive_the_driver(spark, tmp_path):
+    now = [0.0]
+    keys = lambda: DurableKeys(spark, str(tmp_path / "keys"), expires=50, clock=lambda: now[0])
+    assert keys().begin("ann", "1", "x") == ("fresh", None) and keys().begin("ann", "1", "x")[0] == "in_progress"
+    assert keys().begin("ann", "1", "y")[0] == "conflict" and keys().begin("bob", "1", "y")[0] == "fresh"
+    now[0] = 51
+    assert keys().begin("ann", "1", "x")[0] == "fresh"  # the crashed one no longer blocks
+    done = Outcome("ALREADY_APPLIED", 8, "held")
+    keys().end("ann", "1", done)
+    assert keys().begin("ann", "1", "x") == ("replayed", done) and keys().begin("ann", "1", "z")[0] == "conflict"
+    keys().end("bob", "1", Outcome("PENDING"))
+    assert keys().begin("bob", "1", "z")[0] == "fresh"
+    keys().end("bob", "1", None)
+    assert keys().begin("bob", "1", "w")[0] == "fresh"
+
+
+def test_audit_log(spark, tmp_path):
+    now = [5.0]
+    log = AuditLog(spark, str(tmp_path / "audit"), clock=lambda: now[0])
+    assert log.read().isEmpty() and log.page().isEmpty()
+    ids = [log.add("ann", "replay", str(i), "APPLIED", key=f"k{i}", details={"n": i}) for i in range(5)]
+    assert ids == sorted(set(ids))  # the clock stood still
+    first = log.page(0, 2).orderBy(F.col("id").desc()).collect()
+    assert [r["target"] for r in first] == ["4", "3"] and {r["next_cursor"] for r in first} == {ids[3]}
+    rest = log.page(ids[3], 3).collect()
+    assert {r["target"] for r in rest} == {"0", "1", "2"} and {r["next_cursor"] for r in rest} == {0}
+    assert log.page(0, 900).count() == 5
+
+
+def test_sample(spark):
+    rows = spark.range(1000).repartition(7)
+    some = {r["id"] for r in sample(rows, 40, 3).collect()}
+    assert len(some) == 40 and max(some) > 700 and min(some) < 300 and sample(rows.limit(5), 9).count() == 5
+
+
 def test_workload(spark):
     rows = workload(spark, 5000, whale=True).persist()
     assert validate(rows, MERCHANTS)[1].isEmpty() and rows.select("lsn").distinct().count() == 5000

@@ -82,6 +82,7 @@ def test_crash_and_restart(spark, log, tmp_path, failpoint):
     best = {r["transaction_id"]: r["m"] for r in valid.groupBy("transaction_id").agg(F.max("lsn").alias("m")).collect()}
     assert {r["transaction_id"]: r["lsn"] for r in again.table.read().collect()} == best
     assert again.ledger.read().count() == 2
+    assert again.table.version() == 2  # also after_merge: the table knows the batch, which isn't merged again
 
 
 def change(spark, *rows):
@@ -169,3 +170,107 @@ def test_reference_set(spark):
         ReferenceSet(load).keys()
     with pytest.raises(ValueError, match="empty"):
         ReferenceSet(set).keys()
+
+
+def keyed(spark, first, last, lsn):
+    return spark.range(first, last).selectExpr("cast(id as string) transaction_id", f"id * 10 + {lsn} amount_minor", f"cast({lsn} as long) lsn", "false is_delete")
+
+
+SMALL = "transaction_id string, amount_minor long, lsn long, is_delete boolean"
+
+
+def test_buckets_grow_with_the_table(spark, tmp_path):
+    schema = spark.createDataFrame([], SMALL).schema
+    t = VersionedTable(spark, str(tmp_path / "t"), schema, depth=1, split=60)
+    want = {}
+    for n, (a, b) in enumerate([(0, 40), (20, 300), (300, 310), (0, 5), (250, 700)]):
+        counts = t.merge(keyed(spark, a, b, n + 1), now=100 + n)
+        fresh = sum(str(k) not in want for k in range(a, b))
+        assert counts == {"staged": b - a, "inserted": fresh, "updated": b - a - fresh, "skipped": 0}
+        want |= {str(k): k * 10 + n + 1 for k in range(a, b)}
+        assert {r["transaction_id"]: r["amount_minor"] for r in t.read().collect()} == want
+        m = t.manifest()
+        assert sum(rows for _, rows in m.buckets.values()) == len(want) and max(rows for _, rows in m.buckets.values()) <= 2 * 60
+        covered = sorted(v + (k << d) for name in m.buckets for d, v in [map(int, name.split("x"))] for k in range(1 << (m.depth - d)))
+        assert covered == sorted(set(covered))  # no key has two buckets
+    assert t.manifest().depth >= 4 and t.row("3")["lsn"] == 4 and t.row("699")["lsn"] == 5 and t.row("nobody") is None
+    assert len(t.read(2).collect()) == 300
+    before = t.manifest().buckets
+    t.merge(keyed(spark, 1, 2, 9))
+    assert sum(before.get(b) != x for b, x in t.manifest().buckets.items()) == 1  # one key: one bucket
+
+
+def test_one_row_of_a_key_or_an_error(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], SMALL).schema)
+    t.merge(keyed(spark, 1, 2, 1).union(keyed(spark, 1, 2, 1)))  # against merge's promise
+    with pytest.raises(ValueError, match="not unique"):
+        t.row("1")
+
+
+def test_log_is_condensed(spark, tmp_path, monkeypatch):
+    from ledgerline.streaming import table
+
+    monkeypatch.setattr(table, "LOG_EVERY", 2)
+    t = VersionedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], SMALL).schema)
+    for n in range(5):
+        t.merge(keyed(spark, n, n + 2, n + 1), ["a", "q", n], now=n)
+    opened, real = [], t._load
+    t._load = lambda name: opened.append(name) or real(name)
+    assert [m["version"] for m in t.log()] == [1, 2, 3, 4, 5] and opened == ["log-4.json", "5.json"]
+    assert t.batches().keys() == {("a", "q", n) for n in range(5)} and t.batches()["a", "q", 0]["inserted"] == 2
+    assert [r["committed_at"] for r in t.history().orderBy("version").collect()] == [0, 1, 2, 3, 4]
+    assert t.change_feed(since=3).select("_commit_version").distinct().count() == 2
+    (tmp_path / "t" / "_manifest" / "log-4.json").unlink()
+    assert len(t.log()) == 5
+
+
+def test_a_store_without_atomic_rename_is_refused(spark):
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.har.impl", "org.apache.hadoop.fs.HarFileSystem")
+    with pytest.raises(Exception, match="no atomic rename|Invalid"):
+        VersionedTable(spark, "har:///nowhere.har/t")
+
+
+def test_ledger_probes_one_block(spark, tmp_path, monkeypatch):
+    from ledgerline.streaming import job as jobs
+
+    monkeypatch.setattr(jobs, "BLOCK", 3)
+    done = jobs.Ledger(spark, str(tmp_path / "l"))
+    assert not done.has("a", "q", 0) and done.read().isEmpty()
+    for n in (0, 1, 2, 3, 5):
+        done.add("a", "q", n, 7)
+    done.add("a", "other", 4, 7)
+    assert [done.has("a", "q", n) for n in range(7)] == [True, True, True, True, False, True, False] and not done.has("b", "q", 1) and done.has("a", "other", 4)
+    block = done._folder("a", "q", 0)
+    import os
+
+    assert len([f for f in os.listdir(block) if f.startswith("part-")]) == 1  # a full block is one file
+    done.add("a", "q", 1, 8)  # a crash may enter a batch twice
+    assert done.read().count() == 6
+
+
+def test_gauges_fail_open(spark, tmp_path):
+    sent = []
+    j = job(spark, tmp_path / "a", push=sent.append)
+    j.process(change(spark, ("c", ID, 1, 100, 1)), 0)
+    assert "ledger_input_rows 1\n" in sent[0] and 'ledger_processed_offset{partition="0"} 2' in sent[0] and sent[0].count("\n") == 8
+
+    def down(text):
+        raise OSError("no route")
+
+    j.push = down
+    assert j.process(change(spark, ("u", ID, 2, 200, 2)), 1)["updated"] == 1 and j.ledger.has("ledgerline", "default", 1)
+
+
+def test_stops_on_a_signal(spark, log, tmp_path):
+    import os
+    import signal
+    import threading
+
+    j = job(spark, tmp_path / "a")
+    threading.Timer(4, os.kill, (os.getpid(), signal.SIGTERM)).start()
+    j.run(read_log(spark, log), str(tmp_path / "ck"), interval="1 seconds")
+    assert not spark.streams.active and signal.getsignal(signal.SIGTERM) == signal.SIG_DFL
+    rest = job(spark, tmp_path / "a")
+    rest.run(read_log(spark, log), str(tmp_path / "ck"))  # goes on where it stopped, to the end
+    assert state(rest) == wanted(spark, log) and rest.ledger.read().count() == 4
