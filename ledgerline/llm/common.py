@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -13,6 +9,8 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import fresh_path, remove
+
 #: Bounds on what one Arrow batch brings to a Python worker; texts may be long, so bytes bind before rows do.
 BATCH_ROWS = 2000
 BATCH_BYTES = 8 << 20
@@ -26,91 +24,6 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def _is_local(spark: SparkSession) -> bool:
-    master = spark.sparkContext.master
-    return master == "local" or master.startswith("local[")
-
-
-def _file_system(spark: SparkSession, path: str):
-    """A Hadoop path and its file system, by the session's settings."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _setting(spark: SparkSession) -> str | None:
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, with its scheme: `spark.checkpoint.dir`, or in local mode alone a temporary one.
-
-    A path without a scheme belongs to the default file system. On a cluster, one that would thereby become a folder of each machine
-    raises, as does a cluster without the setting; a `file:` path that is written out must be a mount, and `probe` checks that.
-    """
-    found = _setting(spark)
-    if found is None:
-        if not _is_local(spark):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        own = getattr(shared_dir, "own", None)
-        if own is None:
-            own = shared_dir.own = tempfile.mkdtemp(prefix="ledgerline-")
-            atexit.register(shutil.rmtree, own, ignore_errors=True)
-        found = f"file://{own}"
-    at, store = _file_system(spark, found)
-    whole = store.makeQualified(at).toString()
-    if whole.startswith("file:") and not found.startswith("file:") and not _is_local(spark):
-        raise RuntimeError(f"spark.checkpoint.dir is {found}, a folder of each machine; name its file system, or file:// if it is mounted everywhere")
-    return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
-
-
-def probe(spark: SparkSession, folder: str, files: int = 16) -> None:
-    """Raise unless executors read what the driver has put into the folder: a missing mount would otherwise lose rows silently."""
-    at, store = _file_system(spark, f"{folder}/probe-{uuid.uuid4().hex[:12]}")
-    try:
-        for i in range(files):
-            out = store.create(spark._jvm.org.apache.hadoop.fs.Path(at, str(i)))
-            out.write(bytearray(b"seen\n"))
-            out.close()
-        seen = spark.read.text(at.toString()).count()
-    except Exception as why:
-        raise RuntimeError(f"executors can't read {folder}; set spark.checkpoint.dir to a folder that all of them share") from why
-    finally:
-        store.delete(at, True)
-    if seen != files:
-        raise RuntimeError(f"executors see {seen} of {files} files in {folder}; set spark.checkpoint.dir to a folder that all of them share")
-
-
-def _home(spark: SparkSession) -> str:
-    """This application's part of the shared folder; it goes when the driver's JVM ends."""
-    home = f"{shared_dir(spark).rstrip('/')}/ledgerline/{spark.sparkContext.applicationId}"
-    at, store = _file_system(spark, home)
-    if home not in _homes or not store.exists(at):
-        store.mkdirs(at)
-        store.deleteOnExit(at)
-        if home.startswith("file:") and not _is_local(spark):
-            probe(spark, home)
-        _homes.add(home)
-    return home
-
-
-_homes: set[str] = set()
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{_home(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of the shared store."""
-    at, store = _file_system(spark, path)
-    store.delete(at, True)
-
-
-def clear(spark: SparkSession) -> None:
-    """Delete what the operators keep for frames that they have returned; those can't be read any more."""
-    remove(spark, _home(spark))
-
-
 @contextmanager
 def shuffle_files_freed(spark: SparkSession):
     """Within it, an execution's shuffle files go when it ends, so that disk holds one phase at a time."""

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline import storage
 from ledgerline.llm import common, decontam, langid, quality, simhash, suffixdedup
 from ledgerline.llm.queries import QUERIES
 
@@ -12,12 +13,12 @@ SF = "/root/testdata/sf0.001"
 
 
 def left(spark):
-    home = common._home(spark).removeprefix("file://")
+    home = storage.home(spark).removeprefix("file://")
     return sorted(n.rsplit("-", 1)[0] for n in os.listdir(home))
 
 
 def test_tidy_drops_what_is_used_up(spark):
-    common.clear(spark)
+    storage.clear(spark)
     with common.tidy() as keep:
         inner = common.Stash(spark.range(3), "inner")
         with common.tidy() as keep_inner:
@@ -26,7 +27,7 @@ def test_tidy_drops_what_is_used_up(spark):
         assert left(spark) == ["inner", "second"]
         kept = keep(second.df, "kept")
     assert left(spark) == ["kept"] and kept.df.count() == 3
-    common.clear(spark)
+    storage.clear(spark)
     assert left(spark) == []
 
 
@@ -35,9 +36,9 @@ def test_another_default_file_system(spark, tmp_path, monkeypatch):
     before = conf.get("fs.defaultFS")
     conf.set("fs.viewfs.mounttable.other.link./data", f"file://{tmp_path}")
     conf.set("fs.defaultFS", "viewfs://other/")
-    monkeypatch.setattr(common, "_setting", lambda _: "/data/ckpt")
+    monkeypatch.setattr(storage, "_setting", lambda _: "/data/ckpt")
     try:
-        assert common.shared_dir(spark) == "viewfs://other/data/ckpt"
+        assert storage.shared_dir(spark) == "viewfs://other/data/ckpt"
         kept = common.Stash(spark.range(5), "five")
         assert kept.path.startswith("viewfs://other/data/ckpt/") and kept.df.count() == 5
         assert (tmp_path / "ckpt" / "ledgerline").is_dir()
@@ -52,15 +53,15 @@ def left_in(folder):
 
 
 def test_a_cluster_needs_a_shared_folder(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(common, "_is_local", lambda _: False)
-    monkeypatch.setattr(common, "_setting", lambda _: None)
+    monkeypatch.setattr(storage, "_is_local", lambda _: False)
+    monkeypatch.setattr(storage, "_setting", lambda _: None)
     with pytest.raises(RuntimeError, match="set spark.checkpoint.dir"):
-        common.shared_dir(spark)
-    monkeypatch.setattr(common, "_setting", lambda _: str(tmp_path))
+        storage.shared_dir(spark)
+    monkeypatch.setattr(storage, "_setting", lambda _: str(tmp_path))
     with pytest.raises(RuntimeError, match="a folder of each machine"):
-        common.shared_dir(spark)
-    monkeypatch.setattr(common, "_setting", lambda _: f"file://{tmp_path}")
-    assert common.shared_dir(spark) == f"file://{tmp_path}"  # written out: a mount, which is probed
+        storage.shared_dir(spark)
+    monkeypatch.setattr(storage, "_setting", lambda _: f"file://{tmp_path}")
+    assert storage.shared_dir(spark) == f"file://{tmp_path}"  # written out: a mount, which is probed
     assert common.Stash(spark.range(2), "two").df.count() == 2 and not any("probe" in n for n in os.listdir(next((tmp_path / "ledgerline").iterdir())))
 
 
@@ -73,19 +74,19 @@ def test_probe_sees_a_folder_that_is_not_shared(spark, tmp_path, monkeypatch):
         _jvm, _jsc, read = spark._jvm, spark._jsc, Lost()
 
     with pytest.raises(RuntimeError, match="executors see 0 of 16"):
-        common.probe(Session(), f"file://{tmp_path}")
+        storage.probe(Session(), f"file://{tmp_path}")
     assert left_in(tmp_path) == 0
 
 
 @pytest.mark.parametrize("name", ["op1_quality_rules", "op6_simhash_near_dedup", "op7_suffix_array_dedup", "op9_best_fit_packing"])
 def test_queries_leave_only_what_their_result_reads(spark, name):
-    common.clear(spark)
+    storage.clear(spark)
     found = QUERIES[name](spark, SF)
     kept = left(spark)
     assert found.count() > 0
     read = {f.split("/ledgerline/")[1].split("/")[1].rsplit("-", 1)[0] for f in found.inputFiles() if "/ledgerline/" in f}
     assert set(kept) - read <= {"quality-bounds", "suffix-heavy"} and len(kept) <= 5, (kept, read)
-    common.clear(spark)
+    storage.clear(spark)
     assert left(spark) == []
 
 

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from ledgerline import storage
 from ledgerline.llm import langid, simhash
-from ledgerline.llm.common import _home, stash
+from ledgerline.llm.common import stash
 from ledgerline.llm.queries import word_tokenizer
 
 from .test_dedup_operators import brute_matches
@@ -31,7 +32,7 @@ def stages(spark):
 
 
 def home(spark):
-    return _home(spark).removeprefix("file://")
+    return storage.home(spark).removeprefix("file://")
 
 
 def table(df):
