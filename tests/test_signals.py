@@ -9,15 +9,15 @@ from ledgerline.operators import aggregate
 
 
 def test_parity_badge(spark):
-    cases = [
-        ((10000, 9800, 0, 20.0, 8.0, False), (200, 240, "in_sync")),
-        ((10000, 9000, 0, 20.0, 8.0, False), (1000, 240, "catching_up")),
-        ((100, 97, 0, 0.0, 0.0, False), (3, 0, "catching_up")),
-        ((100, 97, 0, 0.0, 0.0, True), (3, 0, "mismatch")),
-        ((100, 100, 0, 0.0, 0.0, True), (0, 0, "in_sync")),
-        ((100, 90, 10, 0.0, 0.0, True), (0, 0, "in_sync")),
-        ((90, 100, 0, 5.0, 9.0, True), (-10, 68, "mismatch")),
-        ((None, 100, 0, 5.0, 9.0, True), (None, 68, "unknown")),
+    cases = [  # source, lake, quarantined, rate, p95, drained: allowed is rate * p95 * 1.5, rounded up
+        ((500, 470, 6, 4.0, 4.0, False), (24, 24, "in_sync")),
+        ((500, 469, 6, 4.0, 4.0, False), (25, 24, "catching_up")),
+        ((469, 500, 0, 4.0, 4.0, False), (-31, 24, "catching_up")),
+        ((7, 7, 0, 0.5, 0.5, False), (0, 1, "in_sync")),
+        ((7, 6, 0, -3.0, 9.0, False), (1, 0, "catching_up")),
+        ((7, 6, 0, 9.0, 9.0, True), (1, 122, "mismatch")),
+        ((7, 4, 3, 0.0, 0.0, True), (0, 0, "in_sync")),
+        ((7, None, 3, 2.0, 1.0, True), (None, 3, "unknown")),
     ]
     df = spark.createDataFrame([(i, *c) for i, (c, _) in enumerate(cases)], "i int, s long, l long, q long, r double, p double, d boolean")
     got = df.select("i", signals.parity_badge(*(F.col(c) for c in "slqrpd")).alias("b")).orderBy("i").collect()
@@ -25,9 +25,11 @@ def test_parity_badge(spark):
 
 
 def test_percentiles(spark):
-    rows = spark.createDataFrame([(float(v),) for v in (5, 1, 4, 2, 3)], "v double")
-    assert tuple(signals.nearest_rank(rows, "v", {"p50": 0.5, "p95": 0.95}).first()) == (3.0, 5.0)
-    assert tuple(signals.nearest_rank(rows.limit(0), "v", {"p50": 0.5}).first()) == (0.0,)
+    rows = spark.range(1, 41).selectExpr("cast(id * 0.25 as double) v", "id % 2 g")
+    assert tuple(signals.nearest_rank(rows, "v", {"a": 0.5, "b": 0.9, "c": 0.01}).first()) == (5.0, 9.0, 0.25)
+    assert tuple(signals.nearest_rank(rows.limit(0), "v", {"a": 0.5}).first()) == (0.0,)
+    by = signals.nearest_rank(rows.groupBy("g"), "v", {"a": 0.5}, F.count(F.lit(1)).alias("n")).collect()
+    assert {tuple(r) for r in by} == {(0, 20, 5.0), (1, 20, 4.75)}
 
 
 def samples(spark, *rows):
@@ -35,28 +37,25 @@ def samples(spark, *rows):
 
 
 def test_rates(spark):
-    last = lambda df, c: df.orderBy(F.col("t").desc()).first()[c]
-    assert last(signals.rate(samples(spark, *((2 * i, 40 * i) for i in range(8))), 10), "rate") == 20.0
-    assert last(signals.rate(samples(spark, (0, 5)), 10), "rate") == 0.0
-    assert last(signals.rate(samples(spark, (0, 50), (2, 10)), 10), "rate") == 0.0
-    assert last(signals.moving_sum(samples(spark, (0, 100), (10, 100), (20, 100)), 30), "per_second") == 10.0
-    assert last(signals.growth(samples(spark, (0, 100), (20, 104), (40, 109)), 60), "growth") == 9
+    at = lambda df, c: {r["t"]: r[c] for r in df.collect()}
+    counter = samples(spark, (3, 10), (5, 16), (9, 40), (16, 12), (17, 30))
+    assert at(signals.rate(counter, 6), "rate") == {3: 0.0, 5: 3.0, 9: 5.0, 16: 0.0, 17: 18.0}  # 16 stands alone; 17 counts from 16
+    assert at(signals.rate(counter, 8), "rate") == {3: 0.0, 5: 3.0, 9: 5.0, 16: 0.0, 17: 0.0}  # it fell since 9
+    assert at(signals.moving_sum(counter, 12), "per_second") == {3: 10 / 12, 5: 26 / 12, 9: 66 / 12, 16: 68 / 12, 17: 98 / 12}
+    assert at(signals.growth(counter, 11), "growth") == {3: 0, 5: 6, 9: 30, 16: -4, 17: -10}
 
 
 def test_lag(spark):
     part = lambda **k: spark.createDataFrame([(int(p[1:]), v) for p, v in k.items()], "partition int, processed long")
-    ends = part(p0=2325, p1=2305, p2=2354, p3=10).withColumnRenamed("processed", "end_offset")
-    got = signals.consumer_lag(ends, part(p0=2325, p2=2354), part(p0=2300, p1=2305, p2=2353)).orderBy("partition").collect()
-    assert [r["lag"] for r in got] == [0, 0, 0, 10]
+    ends = part(p0=50, p4=8, p7=90, p9=3).withColumnRenamed("processed", "end_offset")
+    got = signals.consumer_lag(ends, part(p0=44, p7=95), part(p0=50, p4=1)).orderBy("partition").collect()
+    assert [(r["partition"], r["processed"], r["lag"]) for r in got] == [(0, 44, 6), (4, 1, 7), (7, 95, 0), (9, 0, 3)]
 
 
 def test_metrics_text(spark):
-    lines = [
-        'processed_offset{job="x",partition="0"} 1313', 'processed_offset{partition="2"} 1.5e3', 'processed_offset_total{partition="3"} 7',
-        'my_processed_offset{partition="4"} 7', "# HELP processed_offset", 'processed_offset{partition="5"} oops',
-    ]
-    got = signals.metrics_text(spark.createDataFrame([(x,) for x in lines], "line string"), "processed_offset").collect()
-    assert {(r["partition"], r["value"]) for r in got} == {(0, 1313), (2, 1500)}
+    lines = ['done{partition="11",host="a"} 42', 'done{partition="3"}   2E2', 'done_sum{partition="1"} 5', 'not_done{partition="1"} 5', "# TYPE done gauge", 'done{partition="6"} many', 'done{host="a"} 5', ""]
+    got = signals.metrics_text(spark.createDataFrame([(x,) for x in lines], "line string"), "done").collect()
+    assert {(r["partition"], r["value"]) for r in got} == {(11, 42), (3, 200)}
 
 
 def test_connector_state(spark):
@@ -73,16 +72,38 @@ def test_progress_offsets(spark):
     assert {(r["id"], r["partition"], r["offset"]) for r in got} == {(1, "0", 5), (2, "3", 7), (4, "0", 8)}
 
 
-def fired(spark, rows, hold=30):
-    df = spark.createDataFrame([("lag", t, on) for t, on in rows], "rule string, t long, active boolean")
-    return sorted((r["fired_at"], r["resolved_at"]) for r in signals.alert_intervals(df, hold).collect())
+def fired(spark, rows, hold):
+    df = spark.createDataFrame([("disk", t, on, hold) for t, on in rows], "rule string, t long, active boolean, hold int")
+    return sorted(((r["fired_at"], r["resolved_at"]) for r in signals.alert_intervals(df).collect()), key=str)
 
 
 def test_alerts(spark):
-    assert fired(spark, [(0, True), (29, True)]) == []
-    assert fired(spark, [(0, True), (29, True), (31, True)]) == [(31, None)]
-    assert fired(spark, [(0, True), (20, False), (25, True), (50, True)]) == []
-    assert fired(spark, [(0, True), (31, True), (40, True), (90, True), (95, False), (100, True), (131, True)]) == [(31, 95), (131, None)]
+    assert fired(spark, [(100, True), (108, True)], 9) == []
+    assert fired(spark, [(100, True), (108, True), (109, True)], 9) == [(109, None)]
+    assert fired(spark, [(100, True), (106, False), (107, True), (115, True)], 9) == []  # a dip begins it anew
+    assert fired(spark, [(1, False), (2, True), (3, True), (4, False), (8, True)], 0) == [(2, 4), (8, None)]
+    assert fired(spark, [(0, True), (12, True), (13, True), (20, False), (21, False), (22, True), (40, True), (41, False)], 9) == [(12, 20), (40, 41)]
+
+
+def test_rules_hold_for_times_of_their_own(spark):
+    rows = [("slow", t, True, 30) for t in range(0, 60, 10)] + [("quick", t, t != 30, 0) for t in range(0, 60, 10)]
+    got = signals.alert_intervals(spark.createDataFrame(rows, "rule string, t long, active boolean, hold int"))
+    assert {tuple(r) for r in got.collect()} == {("slow", 30, None), ("quick", 0, 30), ("quick", 40, None)}
+    moves = [tuple(r) for r in signals.state_changes(got).orderBy("seq").collect()]
+    assert moves == [(1, "quick", 0, "firing"), (2, "quick", 30, "resolved"), (3, "slow", 30, "firing"), (4, "quick", 40, "firing")]
+
+
+def test_freshness_samples(spark):
+    rows = [(100, 5.0, 40, False), (100, 6.0, 39, False), (100, 7.0, 99, True), (100, 8.0, None, False), (100, 9.0, 100, None)]
+    got = signals.freshness_samples(spark.createDataFrame(rows, "t long, freshness double, last_batch long, caught_up boolean"))
+    assert {r["freshness"] for r in got.collect()} == {5.0, 9.0}
+
+
+def test_latest_batch_and_source_health(spark):
+    events = spark.createDataFrame([("a", 3, 10, "x"), ("a", 9, 11, "y"), ("a", 9, 12, "z"), ("b", 1, 50, "w")], "app string, batch_id long, committed_at long, what string")
+    assert {tuple(r) for r in signals.latest_batch(events, ["app"]).select("app", "batch_id", "what").collect()} == {("a", 9, "z"), ("b", 1, "w")}
+    polls = spark.createDataFrame([("db", 10, None), ("db", 20, "refused"), ("log", 12, ""), ("log", 11, "slow"), ("none", 5, "gone")], "source string, t long, error string")
+    assert {tuple(r) for r in signals.source_health(polls, 30).collect()} == {("db", False, "refused", 20), ("log", True, "", 18), ("none", False, "gone", None)}
 
 
 def test_salted_equals_plain_and_evens_out_a_hot_key(spark):
@@ -105,9 +126,9 @@ def test_acknowledgements(spark):
 
 
 def test_exposition_round_trip(spark):
-    text = signals.exposition({"dlq_rows": 3, "input_rows": 200.0}, {"0": 1313, "2": 1500})
+    text = signals.exposition({"dlq_rows": 8, "input_rows": 64.0}, {"4": 77, "12": 9})
     got = signals.metrics_text(spark.createDataFrame([(x,) for x in text.splitlines()], "line string"), "ledger_processed_offset").collect()
-    assert {(r["partition"], r["value"]) for r in got} == {(0, 1313), (2, 1500)} and "ledger_dlq_rows 3" in text
+    assert {(r["partition"], r["value"]) for r in got} == {(4, 77), (12, 9)} and "ledger_dlq_rows 8" in text
 
 
 def test_salting_evens_out_what_tasks_read(spark):

@@ -53,6 +53,13 @@ def test_avro_by_writer_schema(spark, tmp_path):
     assert got[1]["created_at"].microsecond == 123456 and got[1]["source_ts"].microsecond == 123000
     assert (got[2]["transaction_id"], got[2]["is_delete"], got[2]["lsn"]) == ("t2", True, None)
     assert got[4]["transaction_id"] is None and got[4]["op"] is None
+    one = envelope.flatten(avro.decode_single(raw.filter("offset in (1, 3)"), schema())).collect()
+    assert [(r["transaction_id"], r["lsn"], r["offset"]) for r in one] == [("t1", 7, 1)]
+    odd = json.loads(schema())
+    odd["fields"][3]["type"] = "long"  # op is a number there: not an envelope of ours
+    wrong = wire(1, odd, update | {"op": 5})
+    raw = spark.createDataFrame([(bytearray(wrong), 0, 9)], "value binary, partition int, offset long")
+    assert envelope.flatten(avro.decode_single(raw, json.dumps(odd))).first()["op"] is None
 
 
 def test_codec_round_trip():
@@ -126,19 +133,72 @@ def test_parse(spark):
 
 
 def test_open_counts(spark):
-    all_ = letters(spark, (0, "a", 100, "R"), (1, "b", 100, "R"), (2, "b", 100, "R"), (3, "c", 100, "R"))
-    source = lake(spark, a=1, b=1, c=1)
-    got = dead_letters.open_counts(all_, lake(spark, a=10, c=100), source).first()
-    assert (got["messages"], got["open"], got["missing"]) == (4, 2, 1)
+    # p: held at an older lsn; q: never held, in the source, two letters of one change; r: held at the letter's lsn; s: never held, not in the source
+    sent = letters(spark, (10, "p", 7, "A"), (11, "q", 3, "A"), (12, "q", 3, "B"), (13, "q", 4, "A"), (14, "r", 9, "A"), (15, "s", 1, "A"))
+    own = lake(spark, p=0, q=0, r=0, z=0)
+    got = dead_letters.open_counts(sent, lake(spark, p=6, r=9), own.union(own)).first()  # a source row twice counts once
+    assert (got["messages"], got["open"], got["missing"]) == (6, 4, 1)
+    assert {r["transaction_id"] for r in dead_letters.missing_open(sent, lake(spark, p=6, r=9), own).collect()} == {"q"}
+    assert tuple(dead_letters.open_counts(sent.limit(0), lake(spark, p=6), own).first()) == (0, 0, 0)
+    assert tuple(dead_letters.open_counts(sent, lake(spark, p=7).limit(0), own.limit(0)).first()) == (6, 5, 0)
+
+
+def test_open_counts_read_each_side_once(spark, tmp_path):
+    for name, df in (("x", letters(spark, (1, "p", 7, "A"))), ("l", lake(spark, p=6)), ("s", lake(spark, p=0))):
+        df.write.parquet(str(tmp_path / name))
+    sides = [spark.read.parquet(str(tmp_path / n)) for n in "xls"]
+    plan = dead_letters.open_counts(*sides)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 2 * 3 and "NestedLoop" not in plan  # adaptive plans print themselves twice
 
 
 def test_pages(spark):
-    rows = letters(spark, *((i, f"t-{i}", 100, "INVALID_CURRENCY" if i % 2 == 0 else "UNKNOWN_MERCHANT") for i in range(10)))
-    waiting = dead_letters.open_letters(rows, lake(spark, **{"t-0": 100}))
-    wanted = dead_letters.with_reason(waiting, "currency")
-    first = dead_letters.page(wanted, 0, 3).orderBy("offset").collect()
-    assert [r["offset"] for r in first] == [2, 4, 6] and first[0]["next_cursor"] == "8"
-    rest = dead_letters.page(wanted, 8, 3).collect()
-    assert [r["offset"] for r in rest] == [8] and rest[0]["next_cursor"] == ""
-    dup = letters(spark, (0, "dup", 1, "R"), (1, "dup", 1, "R"), (2, "other", 1, "R"))
-    assert [r["offset"] for r in dead_letters.page(dead_letters.collapsed(dup)).orderBy("offset").collect()] == [0, 2]
+    rows = letters(spark, *((100 + 3 * i, f"id{i}", i, "UNKNOWN_MERCHANT,INVALID_UUID" if i % 3 else "NEGATIVE_AMOUNT") for i in range(9)))
+    wanted = dead_letters.with_reason(rows, "uuid")  # offsets 103, 106, 112, 115, 121, 124
+    pages, cursor = [], 0
+    while True:
+        found = dead_letters.page(wanted, cursor, 4).orderBy("offset").collect()
+        pages.append([r["offset"] for r in found])
+        if not found[0]["next_cursor"]:
+            break
+        cursor = int(found[0]["next_cursor"])
+    assert pages == [[103, 106, 112, 115], [121, 124]]
+    assert dead_letters.page(wanted, 0, 0).count() == 1  # limits are at least one
+    again = letters(spark, (5, "x", 2, "A"), (4, "x", 2, "B"), (6, "x", 3, "A"))
+    assert sorted(r["offset"] for r in dead_letters.collapsed(again).collect()) == [4, 6]
+
+
+def test_reasons_that_cannot_be(spark):
+    rows = letters(spark, (1, "x", 1, "INVALID_UUID"))
+    for bad in ("a b", "x;y", "Ä", "A" * 65, "%"):
+        with pytest.raises(ValueError, match="not a part"):
+            dead_letters.with_reason(rows, bad)
+    assert dead_letters.with_reason(rows, "").count() == 1
+
+
+def test_scan_and_watermarks(spark):
+    rows = spark.createDataFrame([(n, f"k{n}", json.dumps({"transaction_id": f"t{n}", "lsn": n})) for n in (20, 21, 23, 30)], "offset long, key string, value string")
+    assert tuple(dead_letters.watermarks(rows).first()) == (20, 31, 11) and tuple(dead_letters.watermarks(rows.limit(0)).first()) == (0, 0, 0)
+    assert [r["transaction_id"] for r in dead_letters.get(rows, 23).collect()] == ["t23"] and dead_letters.get(rows, 22).isEmpty()
+    some = dead_letters.scan(rows, 21, 2).orderBy("offset").collect()
+    assert [(r["offset"], r["next"], r["end"]) for r in some] == [(21, 24, 31), (23, 24, 31)]
+    assert [r["next"] for r in dead_letters.scan(rows, 24, 9).collect()] == [31] and dead_letters.scan(rows, 31, 5).isEmpty()
+
+
+def test_ids_that_a_source_can_be_asked_for(spark):
+    good = ["3F2B8C1E-9D4A-1B6F-0A21-0C5D7E9F1A2B", "00000000-0000-0000-0000-000000000000"]
+    ids = spark.createDataFrame([(x,) for x in (*good, "extra-1", None, good[0] + "0")], "transaction_id string")
+    assert {r[0] for r in dead_letters.present(ids, ids).collect()} == set(good)
+
+
+def test_contract_command(spark, tmp_path, capsys):
+    old, new, bad = tmp_path / "old.avsc", tmp_path / "new.avsc", tmp_path / "bad.avsc"
+    old.write_text(schema())
+    new.write_text(mutated(lambda f: f.append({"name": "note", "type": "string", "default": ""})))
+    bad.write_text(mutated(lambda f: f.append({"name": "note", "type": "string"})))
+    registry = FolderRegistry(str(tmp_path / "registry"))
+    registry.register("changes", schema())
+    run = lambda *args: contract.main(list(map(str, args)), spark)
+    assert run(old, new) == 0 and run(old, bad) == 1 and "note is new and has no default" in capsys.readouterr().out
+    assert run(old, tmp_path / "none.avsc") == 2 and run(old) == 2 and run() == 2 and run("--registry", tmp_path / "registry", new) == 2
+    from_registry = ("--registry", tmp_path / "registry", "--subject", "changes")
+    assert run(*from_registry, new) == 0 and run(*from_registry, bad) == 1 and run("--registry", tmp_path / "registry", "--subject", "other", new) == 2
