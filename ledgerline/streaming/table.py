@@ -61,7 +61,7 @@ def _name(depth: int, value: int) -> str:
 class VersionedTable:
     """Rows of `schema`, unique by `key`; all methods read committed versions alone. A new table's buckets have `depth` bits."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType = LEDGER, key: str = KEY, depth: int = 4, split: int = 2_000_000):
+    def __init__(self, spark: SparkSession, path: str, schema: StructType = LEDGER, key: str = KEY, depth: int = 2, split: int = 2_000_000):
         self.spark, self.path, self.schema, self.key, self.depth, self.split = spark, path.rstrip("/"), schema, key, depth, split
         self._jvm = spark._jvm
         at = self._at("_manifest")
