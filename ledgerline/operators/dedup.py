@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..schema import LEDGER_COLUMNS
 
 
-def latest(changes: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Each key's change with the highest lsn (a null one last), then the highest offset."""
+def latest(changes: DataFrame, key: str = "transaction_id", *within: str) -> DataFrame:
+    """Each key's change with the highest lsn (a null one last), then the highest offset; one for each value of `within`, if given."""
     order = [F.col("lsn").desc(), *([F.col("offset").desc()] if "offset" in changes.columns else [])]
-    return changes.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_rank = 1").drop("_rank")
+    return changes.withColumn("_rank", F.row_number().over(Window.partitionBy(key, *within).orderBy(*order))).filter("_rank = 1").drop("_rank")
 
 
 def closed_form(valid: DataFrame, key: str = "transaction_id", columns: list[str] = LEDGER_COLUMNS) -> DataFrame:

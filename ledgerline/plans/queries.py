@@ -89,6 +89,12 @@ def dedup_latest(spark, sf_dir):
     return dedup.latest(feed.valid(spark, sf_dir).filter("batch_id = 0")).select(*SHORT, F.col("offset").alias("kafka_offset"))
 
 
+@query(f"SELECT {_SHORT}, off AS kafka_offset, batch_id FROM b")
+def dedup_each_batch(spark, sf_dir):
+    """What every batch stages, of all batches at once."""
+    return dedup.latest(feed.valid(spark, sf_dir), "transaction_id", "batch_id").select(*SHORT, F.col("offset").alias("kafka_offset"), "batch_id")
+
+
 # Parity
 
 
@@ -330,6 +336,12 @@ def merge_upsert(spark, sf_dir):
     return stored.table(spark, sf_dir).read(2).select(*SHORT)
 
 
+@query(f"SELECT {_SHORT} FROM l")
+def merge_all_batches(spark, sf_dir):
+    """The stored table after all its merges."""
+    return stored.table(spark, sf_dir).read().select(*SHORT)
+
+
 @query("SELECT DISTINCT batch_id, batch_id < 5 AS committed FROM f")
 def ledger_probe(spark, sf_dir):
     """What the stored batch ledger answers for each batch, one probe each."""
