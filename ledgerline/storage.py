@@ -15,6 +15,11 @@ def _is_local(spark: SparkSession) -> bool:
     return master == "local" or master.startswith("local[")
 
 
+def _on_one_machine(spark: SparkSession) -> bool:
+    """Whether executors run on the driver's machine: in local mode, and as the processes that `local-cluster` starts there."""
+    return _is_local(spark) or spark.sparkContext.master.startswith("local-cluster[")
+
+
 def file_system(spark: SparkSession, path: str):
     """A Hadoop path and its file system, by the session's settings."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -28,8 +33,9 @@ def _setting(spark: SparkSession) -> str | None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, with its scheme: `spark.checkpoint.dir`, or in local mode alone a temporary one.
 
-    A path without a scheme belongs to the default file system. On a cluster, one that would thereby become a folder of each machine
-    raises, as does a cluster without the setting; a `file:` path that is written out must be a mount, and `probe` checks that.
+    A path without a scheme belongs to the default file system. On a cluster of machines, one that would thereby become a folder of each
+    of them raises, as does any cluster without the setting; a `file:` path that is written out must be a mount. The executors of a
+    `local-cluster` see the driver's folders, so there such a path is shared. `probe` checks every `file:` folder outside local mode.
     """
     found = _setting(spark)
     if found is None:
@@ -42,7 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
         found = f"file://{own}"
     at, store = file_system(spark, found)
     whole = store.makeQualified(at).toString()
-    if whole.startswith("file:") and not found.startswith("file:") and not _is_local(spark):
+    if whole.startswith("file:") and not found.startswith("file:") and not _on_one_machine(spark):
         raise RuntimeError(f"spark.checkpoint.dir is {found}, a folder of each machine; name its file system, or file:// if it is mounted everywhere")
     return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
 
