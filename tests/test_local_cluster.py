@@ -15,6 +15,7 @@ SF = "/root/testdata/sf0.001"
 #: Each failed there before it came to read a row.
 NAMES = [
     "pipeline",
+    "op6_simhash_near_dedup",
 ]
 
 CHILD = """
