@@ -16,6 +16,7 @@ SF = "/root/testdata/sf0.001"
 NAMES = [
     "pipeline",
     "op6_simhash_near_dedup",
+    "op7_suffix_array_dedup",
 ]
 
 CHILD = """
