@@ -17,6 +17,7 @@ NAMES = [
     "pipeline",
     "op6_simhash_near_dedup",
     "op7_suffix_array_dedup",
+    "agg_live",
 ]
 
 CHILD = """
