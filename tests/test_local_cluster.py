@@ -18,6 +18,7 @@ NAMES = [
     "op6_simhash_near_dedup",
     "op7_suffix_array_dedup",
     "agg_live",
+    "batch_progress",
 ]
 
 CHILD = """
