@@ -19,6 +19,7 @@ NAMES = [
     "op7_suffix_array_dedup",
     "agg_live",
     "batch_progress",
+    "cdf_by_version",
 ]
 
 CHILD = """
