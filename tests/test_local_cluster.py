@@ -20,6 +20,7 @@ NAMES = [
     "agg_live",
     "batch_progress",
     "cdf_by_version",
+    "decode_by_writer_schema",
 ]
 
 CHILD = """
