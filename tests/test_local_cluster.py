@@ -21,6 +21,7 @@ NAMES = [
     "batch_progress",
     "cdf_by_version",
     "decode_by_writer_schema",
+    "dedup_latest",
 ]
 
 CHILD = """
