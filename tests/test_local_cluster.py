@@ -22,6 +22,7 @@ NAMES = [
     "cdf_by_version",
     "decode_by_writer_schema",
     "dedup_latest",
+    "dlq_open",
 ]
 
 CHILD = """
