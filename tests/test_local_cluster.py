@@ -23,6 +23,7 @@ NAMES = [
     "decode_by_writer_schema",
     "dedup_latest",
     "dlq_open",
+    "dlq_page",
 ]
 
 CHILD = """
