@@ -24,6 +24,7 @@ NAMES = [
     "dedup_latest",
     "dlq_open",
     "dlq_page",
+    "dlq_rate",
 ]
 
 CHILD = """
