@@ -25,6 +25,7 @@ NAMES = [
     "dlq_open",
     "dlq_page",
     "dlq_rate",
+    "duplicate_keys",
 ]
 
 CHILD = """
