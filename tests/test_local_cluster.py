@@ -26,6 +26,7 @@ NAMES = [
     "dlq_page",
     "dlq_rate",
     "duplicate_keys",
+    "freshness",
 ]
 
 CHILD = """
