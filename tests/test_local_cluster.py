@@ -27,6 +27,7 @@ NAMES = [
     "dlq_rate",
     "duplicate_keys",
     "freshness",
+    "lake_stats",
 ]
 
 CHILD = """
