@@ -28,6 +28,7 @@ NAMES = [
     "duplicate_keys",
     "freshness",
     "lake_stats",
+    "ledger_state",
 ]
 
 CHILD = """
