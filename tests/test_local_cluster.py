@@ -29,6 +29,7 @@ NAMES = [
     "freshness",
     "lake_stats",
     "ledger_state",
+    "merge_upsert",
 ]
 
 CHILD = """
