@@ -30,6 +30,7 @@ NAMES = [
     "lake_stats",
     "ledger_state",
     "merge_upsert",
+    "op_counts",
 ]
 
 CHILD = """
