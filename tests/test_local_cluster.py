@@ -31,6 +31,7 @@ NAMES = [
     "ledger_state",
     "merge_upsert",
     "op_counts",
+    "parity_mismatch_nullsafe",
 ]
 
 CHILD = """
