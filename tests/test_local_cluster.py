@@ -32,6 +32,7 @@ NAMES = [
     "merge_upsert",
     "op_counts",
     "parity_mismatch_nullsafe",
+    "parity_report",
 ]
 
 CHILD = """
