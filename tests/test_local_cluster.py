@@ -33,6 +33,7 @@ NAMES = [
     "op_counts",
     "parity_mismatch_nullsafe",
     "parity_report",
+    "processed_offsets",
 ]
 
 CHILD = """
