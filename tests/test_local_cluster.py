@@ -34,6 +34,7 @@ NAMES = [
     "parity_mismatch_nullsafe",
     "parity_report",
     "processed_offsets",
+    "rejection_counts",
 ]
 
 CHILD = """
