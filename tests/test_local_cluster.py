@@ -35,6 +35,7 @@ NAMES = [
     "parity_report",
     "processed_offsets",
     "rejection_counts",
+    "replay_range_scan",
 ]
 
 CHILD = """
