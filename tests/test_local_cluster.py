@@ -36,6 +36,7 @@ NAMES = [
     "processed_offsets",
     "rejection_counts",
     "replay_range_scan",
+    "snapshot_transition",
 ]
 
 CHILD = """
