@@ -37,6 +37,7 @@ NAMES = [
     "rejection_counts",
     "replay_range_scan",
     "snapshot_transition",
+    "source_snapshot",
 ]
 
 CHILD = """
