@@ -38,6 +38,7 @@ NAMES = [
     "replay_range_scan",
     "snapshot_transition",
     "source_snapshot",
+    "throughput_windows",
 ]
 
 CHILD = """
