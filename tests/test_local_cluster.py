@@ -39,6 +39,7 @@ NAMES = [
     "snapshot_transition",
     "source_snapshot",
     "throughput_windows",
+    "union_schema_versions",
 ]
 
 CHILD = """
