@@ -40,6 +40,7 @@ NAMES = [
     "source_snapshot",
     "throughput_windows",
     "union_schema_versions",
+    "wire_header_split",
 ]
 
 CHILD = """
