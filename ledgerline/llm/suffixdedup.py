@@ -13,6 +13,9 @@ A byte is removed if a string of `LENGTH` (50) bytes that covers it also starts
    50 bytes are exact. In each run, all but those of the smallest doc_id are removed.
 3. Removed runs return to their documents.
 
+Copies. Before all that, texts meet by their SHA-256: one that a smaller doc_id also has in full goes whole, and isn't sampled, since the
+smallest document of a text starts all strings that its copies start. So anchors and contexts are those of different texts.
+
 Anchors and contexts travel as packed binary rows, one per task chunk and bucket. A chunk first settles equal anchors and equal
 contexts of its own: only the smallest document of each goes on, so a passage that a third of all documents
 share costs one entry per chunk. Where anchors meet, a task holds an entry for each different anchor, not for each chunk.
@@ -41,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import input_bytes, prepare, stash, tidy, unused
+from .common import prepare, stash, tidy, unused
 
 LENGTH = 50
 Q = 24
@@ -56,6 +59,8 @@ SORT_BYTES = 256 << 10
 GROUP_BYTES = 1792 << 10
 #: Bytes of contexts that a bucket may bring to one task.
 HEAVY = 48 << 20
+#: Rows of copies that are broadcast, so that texts stay where they lie; more meet the texts in a shuffled join.
+FEW_COPIES = 2_000_000
 #: Anchors that meet before a task keeps one entry of each.
 MEET = 1 << 20
 #: Parts of a refinement pass; each uses the pointers that those before it have updated.
@@ -474,7 +479,7 @@ def _contexts(buckets: int, homes: int):
         return len(hit) * 75
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, told, shared = None, [], None
+        now, told, shared, known = None, [], None, set()
         found: dict[bytes, list] = {}
         ids, keys, size = [], [], 0
         texts: list[bytes] = []
@@ -488,11 +493,10 @@ def _contexts(buckets: int, homes: int):
                     told.append(blob)
                     continue
                 if shared is None:
-                    shared = _told_anchors(told)
-                text = t.as_py()
-                if not len(shared) or len(text) < LENGTH:
+                    known, shared = _told_anchors(told)
+                if k not in known:
                     continue
-                ids.append(i), keys.append(k), texts.append(text)
+                ids.append(i), keys.append(k), texts.append(t.as_py())
             if texts:
                 size += take(ids, keys, texts, shared, found, len(ids) - len(texts))
                 texts = []
@@ -509,14 +513,14 @@ def _of_row(row: np.ndarray, g: np.ndarray) -> np.ndarray:
     return _mix(row.view(np.uint64), g)
 
 
-def _told_anchors(blobs: list[bytes]) -> np.ndarray:
-    """The shared anchors of a document bucket's rows: one number for each row and anchor, sorted."""
+def _told_anchors(blobs: list[bytes]) -> tuple[set[int], np.ndarray]:
+    """A document bucket's rows with shared anchors, and those: one number for each row and anchor, sorted."""
     if not blobs:
-        return np.empty(0, np.uint64)
+        return set(), np.empty(0, np.uint64)
     row, g = (np.concatenate(x) for x in zip(*map(_untell, blobs)))
     out = _of_row(row, g)
     out.sort()
-    return out
+    return set(np.unique(row).tolist()), out
 
 
 def _contexts_of(blob: bytes) -> tuple:
@@ -658,16 +662,37 @@ def _apply(names: list[str], last: list[str], keep_columns: bool):
     return run
 
 
+def _copies(told: DataFrame) -> DataFrame:
+    """told: id, row, n, digest. Rows (row, n) whose whole text a smaller id also has. Both sides of the join are plain scans, as for strings."""
+    least = stash(told.filter("digest is not null").groupBy("digest").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").drop("most"), "suffix-firsts")
+    return told.join(least, "digest").filter("least < id").select("row", "n")
+
+
+def _as_whole(homes: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, n = (batch.column(i).to_numpy() for i in range(2))
+            yield _rows(_PACKED, _told(row, np.zeros(len(n), np.int64), n, homes))
+
+    return run
+
+
 def _removed(docs: DataFrame, row: str, bucket: str) -> tuple[DataFrame, DataFrame, int]:
     """docs: doc_id, text, others. The documents with columns `row` and `bucket`, the removed runs (bucket, blob) and the number of document buckets."""
     prepare(docs.sparkSession)
-    _, size = input_bytes(docs, "text")
-    homes, buckets = max(8, size // HOME), max(8, size // BUCKET)
     key = F.xxhash64("doc_id", "text")
     lean = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), key.alias("row"), "text")
+    n = F.octet_length("text").cast("long")
+    with tidy() as keep:
+        told = stash(lean.filter("text is not null").select("id", "row", n.alias("n"), F.when(n >= LENGTH, F.unhex(F.sha2("text", 256))).alias("digest")), "suffix-texts")
+        size = told.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        copies = keep(_copies(told), "suffix-copies").df
+    homes, buckets = max(8, size // HOME), max(8, size // BUCKET)
+    whole = copies.select("row")
+    firsts = lean.join(F.broadcast(whole) if whole.count() <= FEW_COPIES else whole, "row", "left_anti").select("id", "row", "text")
     home = lambda c: F.expr(f"cast(case when `{c}` >= 0 then `{c}` % {homes} else ((`{c}` & 9223372036854775807L) % {homes} + {pow(2, 63, homes)}) % {homes} end as int)")
     with tidy() as keep:
-        packed = lean.mapInArrow(_anchors(buckets, homes), PACKED)
+        packed = firsts.mapInArrow(_anchors(buckets, homes), PACKED)
         asked = packed.select((F.col("kind") * 1_000_003 + F.col("bucket")).alias("key"), "blob", "kind", "bucket").repartition(max(8, buckets // 2), "key").sortWithinPartitions("key")
         shared = stash(asked.mapInArrow(_shared(buckets, homes), PACKED), "suffix-shared")
 
@@ -685,6 +710,7 @@ def _removed(docs: DataFrame, row: str, bucket: str) -> tuple[DataFrame, DataFra
     dealt = light.repartition(max(8, buckets // 2), "bucket").sortWithinPartitions("bucket")
     settled = stash(dealt.mapInArrow(_sorted_contexts(homes), STRING), "suffix-settled")
     spans = contexts.filter(F.col("kind") == TELL).select("bucket", "blob").union(settled.filter(F.col("kind") == TELL).select("bucket", "blob"))
+    spans = spans.union(copies.mapInArrow(_as_whole(homes), PACKED).select("bucket", "blob"))
 
     large = settled.filter(F.col("kind") == ASK)
     if not large.isEmpty():

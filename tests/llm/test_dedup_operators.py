@@ -6,8 +6,10 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
+from ledgerline import storage
 from ledgerline.llm import decontam, simhash, suffixdedup
 from ledgerline.llm.common import folded_words
 from ledgerline.llm.components import components
@@ -191,6 +193,24 @@ def test_hot_anchor_goes_to_no_task(spark, monkeypatch):
     assert len(calls) == 1 and calls[0] > 2000
 
 
+@pytest.mark.parametrize("few", [0, 1000])
+def test_copies_bring_no_contexts(spark, monkeypatch, few):
+    """Whole copies are removed without their strings' being dealt, whatever their ids; what others share with them goes too."""
+    r = random.Random(5)
+    make = lambda n: "".join(r.choice("pqrstuvwé ") for _ in range(n))
+    monkeypatch.setattr(suffixdedup, "FEW_COPIES", few)
+    texts = [make(3000) for _ in range(6)] + ["x" * 49, "x" * 50, make(50)]
+    rows = [(10 * k + i, t) for k in range(9) for i, t in enumerate(texts)] + [(None, texts[0]), (None, texts[0]), (0, texts[0]), (0, texts[1]), (3, texts[0]), (None, None), (None, "y" * 60), (None, "y" * 60)]
+    rows += [(5, make(20) + texts[0][100:400] + make(20)), (200, make(20) + texts[3][100:400] + make(20))]
+    storage.clear(spark)
+    found = suffixdedup.spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((tuple(x) for x in found.collect()), key=str) == brute_spans(rows)
+    at = next(f for f in found.inputFiles() if "/suffix-contexts-" in f).rpartition("/")[0]
+    asked = spark.read.parquet(at).filter(f"kind = {suffixdedup.ASK}").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    assert 0 < asked < 60_000  # two passages of 300 characters and a row of 3,000 that is there twice, not six texts in nine documents each
+    storage.clear(spark)
+
+
 def test_anchors_meet_in_bounded_batches(monkeypatch):
     """Each anchor's rows are all told, whatever the batches; what is held is one entry of each anchor."""
     r = random.Random(5)
