@@ -49,11 +49,12 @@ from .common import prepare, stash, tidy, unused
 LENGTH = 50
 Q = 24
 #: Bytes of text that a task holds at once, and that a bucket of documents and one of anchors is meant for. A partition has
-#: `HOMES` buckets of documents, or two of anchors, so that hashing them to partitions evens out and fewer files are written.
+#: `HOMES` buckets of documents, or half as many of anchors, so that hashing them to partitions evens out and fewer files are
+#: written: without Hadoop's native library, each file of a `file:` folder makes the executor's JVM start three processes (chmod).
 CHUNK = 8 << 20
 HOME = 4 << 20
 BUCKET = 8 << 20
-HOMES = 4
+HOMES = 8
 #: Bytes of contexts that are sorted at once, and that one anchor's group may have.
 SORT_BYTES = 256 << 10
 GROUP_BYTES = 1792 << 10
@@ -684,7 +685,8 @@ def _removed(docs: DataFrame, row: str, bucket: str) -> tuple[DataFrame, DataFra
     lean = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), key.alias("row"), "text")
     n = F.octet_length("text").cast("long")
     with tidy() as keep:
-        told = stash(lean.filter("text is not null").select("id", "row", n.alias("n"), F.when(n >= LENGTH, F.unhex(F.sha2("text", 256))).alias("digest")), "suffix-texts")
+        digests = lean.filter("text is not null").select("id", "row", n.alias("n"), F.when(n >= LENGTH, F.unhex(F.sha2("text", 256))).alias("digest"))
+        told = stash(digests.hint("rebalance"), "suffix-texts")  # small rows: a file for many input splits
         size = told.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         copies = keep(_copies(told), "suffix-copies").df
     homes, buckets = max(8, size // HOME), max(8, size // BUCKET)
@@ -693,7 +695,7 @@ def _removed(docs: DataFrame, row: str, bucket: str) -> tuple[DataFrame, DataFra
     home = lambda c: F.expr(f"cast(case when `{c}` >= 0 then `{c}` % {homes} else ((`{c}` & 9223372036854775807L) % {homes} + {pow(2, 63, homes)}) % {homes} end as int)")
     with tidy() as keep:
         packed = firsts.mapInArrow(_anchors(buckets, homes), PACKED)
-        asked = packed.select((F.col("kind") * 1_000_003 + F.col("bucket")).alias("key"), "blob", "kind", "bucket").repartition(max(8, buckets // 2), "key").sortWithinPartitions("key")
+        asked = packed.select((F.col("kind") * 1_000_003 + F.col("bucket")).alias("key"), "blob", "kind", "bucket").repartition(max(8, buckets // (HOMES // 2)), "key").sortWithinPartitions("key")
         shared = stash(asked.mapInArrow(_shared(buckets, homes), PACKED), "suffix-shared")
 
         side = shared.select("bucket", F.lit(0).alias("kind"), "blob", *(F.lit(None).cast(t).alias(c) for c, t in (("id", "long"), ("row", "long"), ("text", "binary"))))
@@ -707,7 +709,7 @@ def _removed(docs: DataFrame, row: str, bucket: str) -> tuple[DataFrame, DataFra
     if not heavy.isEmpty():
         strings.append(light.join(heavy, "bucket", "left_semi").mapInArrow(_strings, STRING))
         light = light.join(heavy, "bucket", "left_anti")
-    dealt = light.repartition(max(8, buckets // 2), "bucket").sortWithinPartitions("bucket")
+    dealt = light.repartition(max(8, buckets // (HOMES // 2)), "bucket").sortWithinPartitions("bucket")
     settled = stash(dealt.mapInArrow(_sorted_contexts(homes), STRING), "suffix-settled")
     spans = contexts.filter(F.col("kind") == TELL).select("bucket", "blob").union(settled.filter(F.col("kind") == TELL).select("bucket", "blob"))
     spans = spans.union(copies.mapInArrow(_as_whole(homes), PACKED).select("bucket", "blob"))

@@ -211,6 +211,32 @@ def test_copies_bring_no_contexts(spark, monkeypatch, few):
     storage.clear(spark)
 
 
+def test_few_files_are_written(spark, monkeypatch):
+    """A file for eight buckets of documents or four of anchors, and not one for each input split: each starts processes."""
+    monkeypatch.setattr(suffixdedup, "HOME", 4096)
+    monkeypatch.setattr(suffixdedup, "BUCKET", 8192)
+    r = random.Random(6)
+    make = lambda n: "".join(r.choice("pqrstuvwé ") for _ in range(n))
+    shared = [make(300) for _ in range(40)]
+    rows = [(i, make(900) + r.choice(shared) + make(900) + r.choice(shared)) for i in range(200)]
+    homes = sum(len(t.encode()) for _, t in rows) // 4096
+    files, real = {}, suffixdedup.stash
+
+    def counted(df, name):
+        out = real(df, name)
+        files[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(suffixdedup, "stash", counted)
+    storage.clear(spark)
+    found = suffixdedup.spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(30))
+    assert sorted((tuple(x) for x in found.collect()), key=str) == brute_spans(rows)
+    contexts = sum("/suffix-contexts-" in f for f in found.inputFiles())
+    assert homes > 100 and max(files["suffix-shared"], files["suffix-settled"], contexts) <= homes // 8
+    assert files["suffix-texts"] <= 4
+    storage.clear(spark)
+
+
 def test_anchors_meet_in_bounded_batches(monkeypatch):
     """Each anchor's rows are all told, whatever the batches; what is held is one entry of each anchor."""
     r = random.Random(5)
