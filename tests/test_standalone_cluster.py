@@ -21,6 +21,7 @@ NAMES = [
     "pipeline",
     "op6_simhash_near_dedup",
     "op7_suffix_array_dedup",
+    "agg_live",
 ]
 
 CHILD = """
