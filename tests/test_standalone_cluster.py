@@ -23,6 +23,7 @@ NAMES = [
     "op7_suffix_array_dedup",
     "agg_live",
     "decode_by_writer_schema",
+    "dlq_page",
 ]
 
 CHILD = """
