@@ -24,6 +24,7 @@ NAMES = [
     "agg_live",
     "decode_by_writer_schema",
     "dlq_page",
+    "freshness",
 ]
 
 CHILD = """
