@@ -25,6 +25,7 @@ NAMES = [
     "decode_by_writer_schema",
     "dlq_page",
     "freshness",
+    "merge_upsert",
 ]
 
 CHILD = """
