@@ -26,6 +26,7 @@ NAMES = [
     "dlq_page",
     "freshness",
     "merge_upsert",
+    "parity_report",
 ]
 
 CHILD = """
