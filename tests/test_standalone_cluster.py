@@ -29,6 +29,7 @@ NAMES = [
     "parity_report",
     "replay_range_scan",
     "throughput_windows",
+    "batch_progress",
 ]
 
 CHILD = """
