@@ -30,6 +30,7 @@ NAMES = [
     "replay_range_scan",
     "throughput_windows",
     "batch_progress",
+    "dedup_latest",
 ]
 
 CHILD = """
