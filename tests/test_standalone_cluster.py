@@ -31,6 +31,7 @@ NAMES = [
     "throughput_windows",
     "batch_progress",
     "dedup_latest",
+    "dlq_rate",
 ]
 
 CHILD = """
