@@ -32,6 +32,7 @@ NAMES = [
     "batch_progress",
     "dedup_latest",
     "dlq_rate",
+    "lake_stats",
 ]
 
 CHILD = """
