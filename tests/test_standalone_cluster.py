@@ -33,6 +33,7 @@ NAMES = [
     "dedup_latest",
     "dlq_rate",
     "lake_stats",
+    "op_counts",
 ]
 
 CHILD = """
