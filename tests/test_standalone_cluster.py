@@ -37,6 +37,7 @@ NAMES = [
     "processed_offsets",
     "snapshot_transition",
     "union_schema_versions",
+    "cdf_by_version",
 ]
 
 CHILD = """
