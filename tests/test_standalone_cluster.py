@@ -38,6 +38,7 @@ NAMES = [
     "snapshot_transition",
     "union_schema_versions",
     "cdf_by_version",
+    "dlq_open",
 ]
 
 CHILD = """
