@@ -39,6 +39,7 @@ NAMES = [
     "union_schema_versions",
     "cdf_by_version",
     "dlq_open",
+    "duplicate_keys",
 ]
 
 CHILD = """
