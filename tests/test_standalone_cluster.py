@@ -40,6 +40,7 @@ NAMES = [
     "cdf_by_version",
     "dlq_open",
     "duplicate_keys",
+    "ledger_state",
 ]
 
 CHILD = """
