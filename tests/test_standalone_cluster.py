@@ -42,6 +42,7 @@ NAMES = [
     "duplicate_keys",
     "ledger_state",
     "parity_mismatch_nullsafe",
+    "rejection_counts",
 ]
 
 CHILD = """
