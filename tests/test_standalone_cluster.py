@@ -43,6 +43,7 @@ NAMES = [
     "ledger_state",
     "parity_mismatch_nullsafe",
     "rejection_counts",
+    "source_snapshot",
 ]
 
 CHILD = """
